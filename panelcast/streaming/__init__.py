@@ -1,0 +1,5 @@
+"""No operators.
+
+The feature set is batch only: the retraining cycle is a scheduled batch run, and no
+watermark, session or late-data behaviour exists to reproduce.
+"""
