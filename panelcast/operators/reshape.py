@@ -104,6 +104,7 @@ def densify(
     end: Date,
     panel: Panel = PANEL,
     fill: int | float | None = 0,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per series and day of [start, end]; days without a record get ``fill``.
 
@@ -111,10 +112,15 @@ def densify(
     also backwards to ``start``), so gaps are filled by a generator behind one shuffle on the
     series key. There is no key x day join, and the key partitioning survives for the
     windows that follow. Expects at most one record per series and day.
+
+    ``partitions`` fixes the number of shuffle partitions. Set it for very sparse records: the
+    partitions are sized by the records that go in, and every series leaves with all its days.
     """
     w = Window.partitionBy(*panel.keys).orderBy(panel.date)
     day = F.col(panel.date)
     inside = observed.where(day.between(F.lit(start), F.lit(end)))
+    if partitions:
+        inside = inside.repartition(partitions, *panel.keys)
     first = F.lag(day).over(w).isNull()
     spans = inside.select(
         *panel.keys,

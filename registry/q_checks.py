@@ -78,6 +78,7 @@ def _(q):
        from features f join m using (item_id, store_id, date)""",
 )
 def _(q):
+    q.store_tables()
     return ck.check_leakage(q.features(), q.sales_long())
 
 
@@ -95,6 +96,7 @@ def _(q):
         from m join features f on f.item_id = m.item_id and f.store_id = m.store_id and f.date = m.date""",
 )
 def _(q):
+    q.store_tables()
     return ck.leakage_sample(q.features(), q.sales_long())
 
 
@@ -136,6 +138,7 @@ def _(q):
         left join (select l.categoria_zero_rate, count(*) as n_forced_present from lgbm_sample l join arima_sample a using (item_id, store_id) group by 1) p using (categoria_zero_rate)""",
 )
 def _(q):
+    q.store_tables()
     return ck.check_sample(q.lgbm_sample(), q.arima_sample())
 
 

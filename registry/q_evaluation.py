@@ -293,6 +293,7 @@ def _(q):
 def _(q):
     from registry.q_features import _priced
 
+    q.store_tables()
     folds = q.folds()
     train = fo.split_folds(q.sales_long(), folds, roles=("train",))
     revenue = _priced(q).withColumn("revenue", F.col("sales") * F.col("sell_price"))
@@ -307,6 +308,7 @@ def _(q):
 )
 def _(q):
     """Folds, forecast and loss in one chain."""
+    q.store_tables()
     sales, folds = q.sales_long(), q.folds()
     predictions = walk_forward(sales, folds, empirical_quantiles)
     fact = ev.pinball_fact({"lgbm": predictions}, sales, q.segments(), q.arima_sample())

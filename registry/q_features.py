@@ -12,6 +12,8 @@ from registry.q_reshape import R
 from registry.sql import wave_columns
 
 KEYS = ["item_id", "store_id", "date"]
+# averages of cents over 2^k days end in an exact ...5: shift both sides off the rounding tie
+TIE = " + 1e-9"
 _frame = "over (partition by item_id, store_id order by date rows between {n} preceding and 1 preceding)"
 
 
@@ -78,12 +80,12 @@ _priced_sql = """(select s.item_id, s.store_id, s.date, p.sell_price from sales_
 
 @query(
     "moving_avg_365",
-    f"""select item_id, store_id, date, {R('avg(sell_price) ' + _frame.format(n=365))} as price_moving_avg_365
+    f"""select item_id, store_id, date, {R('avg(sell_price) ' + _frame.format(n=365) + TIE)} as price_moving_avg_365
         from {_priced_sql}""",
 )
 def _(q):
     out = wn.add_moving_average(_priced(q), "sell_price", 365, "price_moving_avg_365", decimals=2)
-    return out.select(*KEYS, rounded(F.col("price_moving_avg_365")).alias("price_moving_avg_365"))
+    return out.select(*KEYS, rounded(F.col("price_moving_avg_365") + 1e-9).alias("price_moving_avg_365"))
 
 
 @query(
@@ -106,11 +108,11 @@ _price_features = f"""select item_id, store_id, date, {{cols}} from (
   from {_priced_sql} window w as (partition by item_id, store_id order by date))"""
 
 
-@query("price_ratio", _price_features.format(cols=R("case when mean <> 0 then sell_price / mean end") + " as price_rel_mean"))
+@query("price_ratio", _price_features.format(cols=R("case when mean <> 0 then sell_price / mean end" + TIE) + " as price_rel_mean"))
 def _(q):
     out = wn.add_moving_average(_priced(q), "sell_price", 365, "mean", decimals=2)
     ratio = F.try_divide("sell_price", F.col("mean"))
-    return out.select(*KEYS, rounded(ratio).alias("price_rel_mean"))
+    return out.select(*KEYS, rounded(ratio + 1e-9).alias("price_rel_mean"))
 
 
 @query(
@@ -248,7 +250,7 @@ def _(q):
     "feature_rows",
     f"""select item_id, store_id, date, sales, lag_28, {R('roll_mean_28')} as roll_mean_28, {R('roll_std_28', 4)} as roll_std_28,
           cast(days_to_next_event as int) as days_to_next_event, snap_active, event_type, {R('fourier_year_cos_5')} as fourier_year_cos_5,
-          {R('price_rel_mean')} as price_rel_mean, price_changed from features where date >= (select max(date) - 27 from spine)""",
+          {R('price_rel_mean' + TIE)} as price_rel_mean, price_changed from features where date >= (select max(date) - 27 from spine)""",
 )
 def _(q):
     """The validation window of the feature table, row by row."""
@@ -259,7 +261,7 @@ def _(q):
         *KEYS, "sales", "lag_28", rounded(F.col("roll_mean_28")).alias("roll_mean_28"),
         rounded(F.col("roll_std_28"), 4).alias("roll_std_28"), "days_to_next_event", "snap_active",
         "event_type", rounded(F.col("fourier_year_cos_5")).alias("fourier_year_cos_5"),
-        rounded(F.col("price_rel_mean")).alias("price_rel_mean"), "price_changed",
+        rounded(F.col("price_rel_mean") + 1e-9).alias("price_rel_mean"), "price_changed",
     )
 
 

@@ -131,10 +131,10 @@ def _(q):
         where dayofweek(o.date) + 1 <= n group by 1, 2, 3""",
 )
 def _(q):
-    slots = F.explode(F.sequence(F.lit(1), F.lit(7)))
+    slots = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(7).cast("long")))
     return (
         q.observed()
-        .select("item_id", "store_id", F.dayofweek("date").alias("dow"), slots.cast("long").alias("slot"))
+        .select("item_id", "store_id", F.dayofweek("date").alias("dow"), slots.alias("slot"))
         .where(F.col("dow") <= F.col("slot"))
         .groupBy("item_id", "store_id", "slot")
         .agg(F.count(F.lit(1)).alias("n_rows"))
@@ -326,6 +326,7 @@ def _(q):
        where (item_id, store_id) in (select (item_id, store_id) from lgbm_sample)""",
 )
 def _(q):
+    q.store_tables()
     return sg.sample_panel(q.sales_long(), q.lgbm_sample())
 
 

@@ -102,6 +102,7 @@ def _(q):
 )
 def _(q):
     path = scratch_path(q.spark, "source")
+    q.store_tables()
     build = lambda: sample_panel(q.sales_long(), q.lgbm_sample())
     materialise_once(q.spark, path, build)
     return materialise_once(q.spark, path, build)
