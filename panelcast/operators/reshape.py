@@ -60,10 +60,16 @@ def wide_to_long(
 def unpivot_quantiles(
     predictions: DataFrame, names: list[str] | None = None, value: str = "y_pred"
 ) -> DataFrame:
-    """Quantile columns -> (quantile_name, y_pred); NULL predictions have no row."""
+    """Quantile columns -> (quantile_name, y_pred); NULL predictions have no row.
+
+    Generated from an array of structs: the row is widened inside one code-generated stage,
+    where the expansion behind ``DataFrame.unpivot`` fell out of it next to a window."""
     names = names or list(QUANTILES)
     ids = [c for c in predictions.columns if c not in names]
-    return predictions.unpivot(ids, names, "quantile_name", value).where(F.col(value).isNotNull())
+    cells = F.array(
+        *[F.struct(F.lit(n).alias("quantile_name"), F.col(n).alias(value)) for n in names]
+    )
+    return predictions.select(*ids, F.inline(cells)).where(F.col(value).isNotNull())
 
 
 def pivot_models(

@@ -11,15 +11,19 @@ from panelcast.functions.calendar import date_parts, days_since, event_flags, fo
 from panelcast.functions.numeric import tri_state_changed
 from panelcast.operators.relational import attach_weekly_price
 from panelcast.operators.windows import (
-    add_days_since_last_sale,
+    add_columns,
     add_event_distance,
-    add_lags,
-    add_moving_average,
-    add_rolling,
-    series_window,
+    days_since_last_sale,
+    is_integral,
+    lags,
+    moving_average,
+    rolling,
 )
 from panelcast.schema import PANEL, Panel
 
+# Sales lags in days.
+SALES_LAGS = (7, 14, 28, 182)
+
 
 def calendar_features(
     calendar: DataFrame, epoch: Date, week: str = "wm_yr_wk", flags: list[str] | None = None
@@ -58,8 +62,8 @@ def build_features(
 ) -> DataFrame:
     """Sales + calendar + weekly price + temporal, Fourier and price features.
 
-    The panel is shuffled once, on the series key: the price join and every window reuse that
-    partitioning. ``sales`` is taken as dense (see ``densify``); on a panel with gaps the row
+    The panel is shuffled once, on the series key, and sorted once: the price join and the two
+    window passes reuse that partitioning. ``sales`` is taken as dense (see ``densify``); on a panel with gaps the row
     offsets would not be day offsets. ``state_flags``: store prefix -> calendar flag column.
     """
     flags = list(dict.fromkeys(state_flags.values()))
@@ -67,17 +71,14 @@ def build_features(
     by_series = attach_weekly_price(
         sales.join(days.select(panel.date, week), panel.date, "left"), prices, week, panel
     )
-    w = series_window(panel)
-    staged = add_lags(by_series, panel=panel)
-    staged = add_rolling(staged, panel=panel)
-    staged = add_days_since_last_sale(staged, panel)
-    staged = staged.withColumns(
-        {
-            "_prev_price": F.lag("sell_price", 1).over(w),
-            "lag_price_28": F.lag("sell_price", 28).over(w),
-        }
+    windows = (
+        lags(panel.value, {f"lag_{n}": n for n in SALES_LAGS}, panel)
+        | rolling(panel.value, is_integral(sales, panel.value), panel=panel)
+        | days_since_last_sale(panel.value, panel)
+        | lags("sell_price", {"prev_price": 1, "lag_price_28": 28}, panel)
+        | moving_average("sell_price", 365, "price_mean", decimals=2, panel=panel)
     )
-    staged = add_moving_average(staged, "sell_price", 365, "_price_mean", panel, decimals=2)
+    staged = add_columns(by_series, windows)
     price, old = F.col("sell_price"), F.col("lag_price_28")
     full = staged.join(days.drop(week), panel.date, "left")
     parts = [*date_parts(F.lit(None).cast("date"))]
@@ -94,10 +95,7 @@ def build_features(
             "snap_active"
         ),
         "sell_price",
-        "lag_7",
-        "lag_14",
-        "lag_28",
-        "lag_182",
+        *[f"lag_{n}" for n in SALES_LAGS],
         "roll_mean_7",
         "roll_mean_28",
         "roll_std_28",
@@ -106,8 +104,8 @@ def build_features(
         "days_since_last_sale",
         "pct_zeros_28d",
         *waves,
-        F.try_divide(price, F.col("_price_mean")).alias("price_rel_mean"),
+        F.try_divide(price, F.col("price_mean")).alias("price_rel_mean"),
         F.try_divide(price - old, old).alias("price_momentum_4w"),
         "lag_price_28",
-        tri_state_changed(price, F.col("_prev_price")).alias("price_changed"),
+        tri_state_changed(price, F.col("prev_price")).alias("price_changed"),
     )

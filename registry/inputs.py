@@ -22,7 +22,7 @@ from panelcast.operators.reshape import date_spine, densify
 from panelcast.plans.features import build_features
 from panelcast.plans.walk_forward import walk_forward
 from panelcast.schema import N_FOLDS
-from panelcast.session import bounded_broadcast, checkpoint
+from panelcast.session import bounded_broadcast, checkpoint, spread
 
 STATE_FLAGS = {"AF": "snap_AF", "AM": "snap_AM", "AS": "snap_AS"}
 WIDE_DAYS = 31
@@ -60,11 +60,14 @@ class Inputs:
 
     def observed(self) -> DataFrame:
         """Sales per series and day on which something was sold."""
-        lines = self.table("lineitem").select(
-            "l_partkey",
-            "l_suppkey",
-            F.col("l_shipdate").cast("date").alias("date"),
-            F.col("l_quantity").cast("long").alias("qty"),
+        # every line fans out to five series below: spread a scan that is a single split
+        lines = spread(
+            self.table("lineitem").select(
+                "l_partkey",
+                "l_suppkey",
+                F.col("l_shipdate").cast("date").alias("date"),
+                F.col("l_quantity").cast("long").alias("qty"),
+            )
         )
         parts = self.table("part").select(
             "p_partkey",
