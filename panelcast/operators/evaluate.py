@@ -120,9 +120,32 @@ def metrics_overall(fact: DataFrame) -> DataFrame:
     return roll_up(fact)
 
 
-def metrics_by_category(fact: DataFrame, segments: DataFrame, panel: Panel = PANEL) -> DataFrame:
+def _series_losses(fact: DataFrame, panel: Panel = PANEL) -> DataFrame:
+    """Loss sums per model, quantile, sample membership and series: the grain at which series
+    attributes are joined, after folds and days have been combined away."""
+    return (
+        _stable(fact)
+        .groupBy("model", "quantile_name", "quantile_level", "in_arima_sample", *panel.keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("pinball_loss").alias("_loss"))
+    )
+
+
+def _with_category(fact: DataFrame, segments: DataFrame, panel: Panel) -> DataFrame:
     keys = list(panel.keys)
-    return roll_up(fact.join(segments.select(*keys, "category"), keys), "category")
+    return _series_losses(fact, panel).join(segments.select(*keys, "category"), keys)
+
+
+def _mean_loss() -> Column:
+    return F.sum("_loss") / F.sum("_n")
+
+
+def metrics_by_category(fact: DataFrame, segments: DataFrame, panel: Panel = PANEL) -> DataFrame:
+    """The loss sums shrink to one row per series before the segment join."""
+    return (
+        _with_category(fact, segments, panel)
+        .groupBy("model", "quantile_name", "quantile_level", "in_arima_sample", "category")
+        .agg(F.sum("_n").alias("n_obs"), _mean_loss().alias("avg_pinball_loss"))
+    )
 
 
 def release_age_bucket(day: Column, release: Column) -> Column:
@@ -297,12 +320,10 @@ def aggregate_predictions(predictions: DataFrame, segments: DataFrame, panel: Pa
 
 def aggregate_metrics(fact: DataFrame, segments: DataFrame, run_date: Date, panel: Panel = PANEL):
     """Mean loss per model, category and quantile, stamped with the run."""
-    keys = list(panel.keys)
     return (
-        _stable(fact)
-        .join(segments.select(*keys, "category"), keys)
+        _with_category(fact, segments, panel)
         .groupBy("model", "category", F.col("quantile_name").alias("quantile"))
-        .agg(F.avg("pinball_loss").alias("pinball_loss"))
+        .agg(_mean_loss().alias("pinball_loss"))
         .withColumn("run_date", F.lit(run_date))
     )
 
@@ -311,14 +332,12 @@ def error_heatmap(
     fact: DataFrame, segments: DataFrame, stores: list[str], quantile: str = "p50", panel: Panel = PANEL
 ) -> DataFrame:
     """Mean loss by category (rows) and store (columns)."""
-    keys = list(panel.keys)
+    picked = fact.where(F.col("quantile_name") == quantile)
     return (
-        _stable(fact)
-        .where(F.col("quantile_name") == quantile)
-        .join(segments.select(*keys, "category"), keys)
+        _with_category(picked, segments, panel)
         .groupBy("category")
         .pivot(panel.keys[1], stores)
-        .agg(F.avg("pinball_loss"))
+        .agg(_mean_loss())
     )
 
 

@@ -6,7 +6,7 @@ from datetime import date as Date
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.operators.windows import series_window
@@ -16,23 +16,34 @@ from panelcast.schema import PANEL, Panel
 KEY_LAGS = (7, 14, 28, 91, 182, 365, 546, 730)
 
 
+def whole_series(panel: Panel = PANEL):
+    """All rows of the series, in the order every other per-series window uses: a statistic of the
+    whole series joins their pass over the data instead of being aggregated and joined back."""
+    return series_window(panel).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def trend_lines(df: DataFrame, origin: Date, panel: Panel = PANEL) -> DataFrame:
     """Least-squares line of every series over the day index; one aggregate."""
-    x = F.datediff(panel.date, F.lit(origin)).cast("double")
-    y = F.col(panel.value).cast("double")
+    x, y = _day_index(origin, panel), F.col(panel.value).cast("double")
     return df.groupBy(*panel.keys).agg(
         F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept")
     )
 
 
+def _day_index(origin: Date, panel: Panel):
+    return F.datediff(panel.date, F.lit(origin)).cast("double")
+
+
 def detrend(df: DataFrame, origin: Date, panel: Panel = PANEL, out: str = "residual") -> DataFrame:
-    """Value minus its series' line. The lines come from an aggregate on the key the panel is
-    already partitioned by, so the join back adds no shuffle of the panel."""
-    lines = trend_lines(df, origin, panel)
-    x = F.datediff(panel.date, F.lit(origin)).cast("double")
-    return df.join(lines, list(panel.keys)).withColumn(
-        out, F.col(panel.value).cast("double") - (F.col("intercept") + F.col("slope") * x)
-    ).drop("slope", "intercept")
+    """Value minus its series' least-squares line, in one window pass."""
+    x, y = _day_index(origin, panel), F.col(panel.value).cast("double")
+    w = whole_series(panel)
+    lined = df.withColumns(
+        {"_slope": F.regr_slope(y, x).over(w), "_intercept": F.regr_intercept(y, x).over(w)}
+    )
+    return lined.withColumn(out, y - (F.col("_intercept") + F.col("_slope") * x)).drop(
+        "_slope", "_intercept"
+    )
 
 
 def acf(
@@ -44,8 +55,7 @@ def acf(
     same window pass: no self join and no row multiplication."""
     v = F.col(value or panel.value).cast("double")
     w = series_window(panel)
-    mean = df.groupBy(*panel.keys).agg(F.avg(v).alias("_m"))
-    centred = df.join(mean, list(panel.keys)).select(*panel.grain, (v - F.col("_m")).alias("_c"))
+    centred = df.select(*panel.grain, (v - F.avg(v).over(whole_series(panel))).alias("_c"))
     shifted = centred.select(
         *panel.keys, "_c", *[F.lag("_c", k).over(w).alias(f"_l{k}") for k in lags]
     )

@@ -63,8 +63,9 @@ def build_features(
     """Sales + calendar + weekly price + temporal, Fourier and price features.
 
     The panel is shuffled once, on the series key, and sorted once: the price join and the two
-    window passes reuse that partitioning. ``sales`` is taken as dense (see ``densify``); on a panel with gaps the row
-    offsets would not be day offsets. ``state_flags``: store prefix -> calendar flag column.
+    window passes reuse that partitioning. ``sales`` is taken as dense (see ``densify``); on a
+    panel with gaps the row offsets would not be day offsets. ``state_flags``: store prefix ->
+    calendar flag column.
     """
     flags = list(dict.fromkeys(state_flags.values()))
     days = calendar_features(calendar, epoch, week, flags).withColumnRenamed("date", panel.date)

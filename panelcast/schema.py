@@ -118,3 +118,14 @@ ARIMA_METADATA = T.StructType(
         T.StructField("razon_fallo", T.StringType()),
     ]
 )
+
+UNCERTAINTY_METADATA = T.StructType(
+    [
+        T.StructField("item_id", T.StringType()),
+        T.StructField("store_id", T.StringType()),
+        T.StructField("fold_id", T.IntegerType()),
+        T.StructField("categoria_zero_rate", T.StringType()),
+        T.StructField("tasa_ceros", T.DoubleType()),
+        T.StructField("fallo_incertidumbre", T.BooleanType()),
+    ]
+)
