@@ -13,6 +13,7 @@ from panelcast.operators.forecast.common import forecast_metadata
 from panelcast.plans.evaluation import flags_only
 from panelcast.plans.walk_forward import walk_forward
 from panelcast.schema import QUANTILE_NAMES, Z_SCORES
+from panelcast.session import checkpoint
 from registry.core import query
 from registry.q_reshape import R
 
@@ -149,8 +150,9 @@ BOOST = bo.BoostParams(rounds=6, learning_rate=0.3, max_depth=5, cut_every=6)
 
 @query("quantile_boost")
 def _(q):
-    """Fit on the last fold's training window, predict its validation days."""
+    """Fit on the last fold's training window, predict its validation days. The tagged features
+    are written once: indexing, fitting and scoring each read them."""
     fold = fo.single_fold(q.spark, q.bounds[1])
-    rows = fo.split_folds(q.features(), fold)
+    rows = checkpoint(fo.split_folds(q.features(), fold), "fold-features")
     model = bo.fit_quantile_boost(rows.where("role = 'train'"), params=BOOST)
     return bo.predict_quantile_boost(model, rows.where("role = 'val'"))
