@@ -16,26 +16,32 @@ from panelcast.llm.common import col, fresh, stored, unit
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def words(text: str | None) -> set[str]:
-    """The distinct lower-case words of the whole text; null has none."""
-    return set(WORD.findall(text.lower())) if text else set()
+#: Lengths of the word beginnings that count as features of their own (stems of inflected words).
+STEMS = (4, 5, 6)
+
+
+def features(text: str | None) -> set[str]:
+    """The distinct lower-case words of the whole text and their beginnings (marked by a hyphen); null has none."""
+    found = set(WORD.findall(text.lower())) if text else set()
+    stems = [{w[:n] + "-" for w in found if len(w) > n} for n in STEMS]
+    return found.union(*stems)
 
 
 @dataclass
 class ToxicityModel:
-    """Word weights and a bias; the logistic of their sum over a text's distinct words is its score."""
+    """Weights and a bias; the logistic of their sum over a text's distinct features is its score."""
 
     weights: dict[str, float]
     bias: float
 
     def score(self, text: str | None) -> float:
         weights = self.weights
-        total = self.bias + sum(weights[w] for w in words(text) & weights.keys())
+        total = self.bias + sum(weights[w] for w in sorted(features(text) & weights.keys()))
         return float(1.0 / (1.0 + np.exp(-np.clip(total, -60, 60))))
 
 
 def fit_nnpu(
-    positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05, decay: float = 1e-4
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic classifier that minimise the non-negative risk
 
@@ -73,17 +79,18 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     learn: Column | None = None,
-    max_positive: int = 3000,
-    max_unlabelled: int = 9000,
-    max_words: int = 1024,
+    max_positive: int = 2000,
+    max_unlabelled: int = 6000,
+    max_features: int = 512,
+    least_z: float = 4.5,
 ) -> ToxicityModel | None:
     """A model from confirmed toxic documents and unlabelled ones, or None without a toxic example.
 
     ``labels`` has ``id_col`` and ``toxic`` (nulls are skipped, of repeated rows 1 wins); only labels of rows that meet
     ``learn`` (a condition on the id) are read. The class prior is the toxic share of those labels.
     Samples: about ``max_positive`` toxic documents and ``max_unlabelled`` of all documents,
-    by a hash of the id, whole texts. Their distinct words are counted in Spark; the ``max_words`` words by which
-    the two samples differ most become features.
+    by a hash of the id, whole texts. Their features are counted in Spark; up to ``max_features`` of them by which
+    the two samples differ most, by at least ``least_z`` standard errors, take part.
     """
     marks = labels.where(col(id_col).isNotNull() & F.col("toxic").isNotNull())
     marks = marks.where(learn) if learn is not None else marks
@@ -101,20 +108,20 @@ def train(
     rows = rows.where("positive or unlabelled")
 
     @F.pandas_udf("array<string>")
-    def distinct_words(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def distinct(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
-            yield pd.Series([sorted(words(t)) for t in texts], dtype=object)
+            yield pd.Series([sorted(features(t)) for t in texts], dtype=object)
 
-    rows = stored(rows.select("id", F.coalesce("positive", F.lit(False)).alias("positive"), "unlabelled", distinct_words("text").alias("words")), "toxicity")
+    rows = stored(rows.select("id", F.coalesce("positive", F.lit(False)).alias("positive"), "unlabelled", distinct("text").alias("features")), "toxicity")
     n_pos, n_any = rows.agg(F.sum(F.col("positive").cast("int")), F.sum(F.col("unlabelled").cast("int"))).first()
     if not n_pos or not n_any:
         return None
     p, q = F.sum(F.col("positive").cast("int")), F.sum(F.col("unlabelled").cast("int"))
-    counts = rows.select("positive", "unlabelled", F.explode("words").alias("word")).groupBy("word").agg(p.alias("p"), q.alias("q"))
+    counts = rows.select("positive", "unlabelled", F.explode("features").alias("feature")).groupBy("feature").agg(p.alias("p"), q.alias("q"))
     share_p, share_q = F.col("p") / n_pos, F.col("q") / n_any
     pooled = (F.col("p") + F.col("q") + 1) / (n_pos + n_any + 2)
     differ = F.abs(share_p - share_q) / F.sqrt(pooled * (1 - pooled) * (1 / n_pos + 1 / n_any) + 1e-12)
-    vocabulary = [r[0] for r in counts.select("word", differ.alias("z")).where("z > 2").orderBy(F.desc("z"), "word").limit(max_words).collect()]
+    vocabulary = [r[0] for r in counts.select("feature", differ.alias("z")).where(F.col("z") >= least_z).orderBy(F.desc("z"), "feature").limit(max_features).collect()]
     at = {w: i for i, w in enumerate(vocabulary)}
 
     @F.pandas_udf("array<int>")
@@ -122,7 +129,7 @@ def train(
         for lists in parts:
             yield pd.Series([[at[w] for w in ws if w in at] for ws in lists], dtype=object)
 
-    table = rows.select("id", "positive", "unlabelled", found("words").alias("found")).orderBy("id").toPandas()
+    table = rows.select("id", "positive", "unlabelled", found("features").alias("found")).orderBy("id").toPandas()
     x = np.zeros((len(table), len(vocabulary)), dtype=np.uint8)
     for i, slots in enumerate(table["found"]):
         x[i, np.asarray(slots, dtype=np.int64)] = 1
