@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,82 +20,74 @@ UNITS = frozenset(
     "minute minutes h hr hour hours day days week weeks month months year years percent dollar dollars cent cents "
     "euro euros usd eur gbp mph kmh hz khz mhz ghz kb mb gb tb w kw v a k c f degree degrees".split()
 )
-TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
 NUMBER, NAME, UNIT = 1, 2, 3
 SLOT_NAMES = {NUMBER: "number", NAME: "name", UNIT: "unit"}
-STOP, DIGITS, UNIT_WORD, BLANK = 1, 2, 4, 8
+LETTER, DIGIT = 1, 2
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 WINDOW = len(MULTIPLIERS)
 
 
-class Canonical:
-    """Codes of a text's tokens. Letter runs and numbers are tokens, all else separates them.
+@lru_cache(maxsize=1)
+def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By code point: class (letter, digit or neither), a hash of the lower-case form, upper case, end of a sentence or line."""
+    size = 0x110000
+    kind, upper, stop = np.zeros(size, dtype=np.uint8), np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+    lower = np.arange(size, dtype=np.uint64)
+    for c in map(chr, range(size)):
+        if c.isalnum():
+            at = ord(c)
+            kind[at] = DIGIT if c.isdecimal() else LETTER
+            upper[at] = c.isupper()
+            if upper[at]:
+                lower[at] = ord(c.lower()[0])
+    stop[[ord(c) for c in ".!?:\n"]] = True
+    return kind, _mixed(lower + np.uint64(1)), upper, stop
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> np.ndarray:
+    return np.multiply.accumulate(np.full(size, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
-    A number is a slot; so is a unit word behind a number, and a capitalised word that does not begin a
-    sentence or line (a name). Other words count in lower case. What is known of a word is kept, up to
-    ``remember`` words at a time.
-    """
 
-    def __init__(self, remember: int = 200_000):
-        self.known: dict[str, tuple[int, int, int]] = {}
-        self.remember = remember
-
-    def _look(self, word: str) -> tuple[int, int, int]:
-        """Code as a plain word, code inside a sentence, and flags; code 0 stands for several tokens."""
-        tokens = TOKEN.findall(word)
-        stop = STOP if word.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":") else 0
-        if not tokens:
-            found = (1, 1, BLANK | stop)
-        elif len(tokens) > 1:
-            found = (0, 0, 0)
-        elif tokens[0][0].isdigit() or tokens[0].isdecimal():
-            found = (NUMBER, NUMBER, DIGITS | stop)
-        else:
-            lower = tokens[0].lower()
-            code = xxhash.xxh64_intdigest(lower.encode("utf-8", "surrogatepass")) | 8
-            found = (code, NAME if tokens[0][0].isupper() else code, (UNIT_WORD if lower in UNITS else 0) | stop)
-        if len(self.known) >= self.remember:
-            self.known.clear()
-        self.known[word] = found
-        return found
-
-    def tokens(self, text: str) -> tuple[np.ndarray, list[str]]:
-        """Codes (small ones are slots) and the tokens they stand for."""
-        known, look, words, facts, first = self.known.get, self._look, [], [], []
-        for line in text.split("\n"):
-            chunk = line.split()
-            if not chunk:
-                continue
-            found = [known(w) or look(w) for w in chunk]
-            if any(not f[0] for f in found):
-                parts = [p if f[0] else t for w, f in zip(chunk, found) for p, t in ([(w, w)] if f[0] else [(None, t) for t in _cut(w)])]
-                chunk, found = parts, [known(w) or look(w) for w in parts]
-            first.append(len(words))
-            words += chunk
-            facts += found
-        if not words:
-            return np.zeros(0, dtype=np.uint64), []
-        plain = np.array([f[0] for f in facts], dtype=np.uint64)
-        inside = np.array([f[1] for f in facts], dtype=np.uint64)
-        flags = np.array([f[2] for f in facts], dtype=np.uint8)
-        begins = np.zeros(len(words), dtype=bool)
-        begins[1:] = (flags[:-1] & STOP) > 0
-        begins[first] = True
-        codes = np.where(begins, plain, inside)
-        keep = (flags & BLANK) == 0
-        if not keep.all():
-            words = [words[i] for i in np.flatnonzero(keep)]
-            codes, flags = codes[keep], flags[keep]
-        after = np.zeros(len(codes), dtype=bool)
-        after[1:] = (flags[:-1] & DIGITS) > 0
-        codes[after & ((flags & UNIT_WORD) > 0)] = UNIT
-        return codes, words
-
-
-def _cut(word: str) -> list[str]:
-    """The tokens of a run of characters, the last with the rest of the run so that its stop is seen."""
-    spans = [m.span() for m in TOKEN.finditer(word)]
-    return [word[a:b] for a, b in spans[:-1]] + [word[spans[-1][0] :]]
+def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes, starts and ends of a text's tokens: runs of letters, and numbers with their points and commas.
+
+    Slots have the codes NUMBER, UNIT (a unit word next after a number) and NAME (a capitalised word that does not
+    begin a sentence or line); the code of any other word is a hash of its lower-case letters.
+    """
+    none = np.zeros(0, dtype=np.int64)
+    if not text:
+        return none.astype(np.uint64), none, none
+    kinds, hashes, uppers, stops = _characters()
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kind = kinds[points]
+    digit = kind == DIGIT
+    if len(points) > 2 and digit.any():
+        inside = np.flatnonzero(digit[:-2] & digit[2:] & ((points[1:-1] == 44) | (points[1:-1] == 46))) + 1
+        kind[inside] = DIGIT
+    edge = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(points)]))
+    real = kind[starts] > 0
+    starts, ends = starts[real], ends[real]
+    if not len(starts):
+        return none.astype(np.uint64), none, none
+    lengths = ends - starts
+    # the characters of all tokens, one behind the other, and each one's place in its token
+    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    place = np.arange(lengths.sum()) - np.repeat(first, lengths)
+    power = _powers(1 << max(6, int(lengths.max()).bit_length()))
+    codes = np.add.reduceat(hashes[points[kind > 0]] * power[place], first)
+    codes = _mixed(codes) | np.uint64(8)
+    ended = np.concatenate(([0], np.cumsum(stops[points] & (kind == 0))))
+    begins = np.ones(len(starts), dtype=bool)
+    begins[1:] = ended[starts[1:]] > ended[starts[:-1]]
+    number = kind[starts] == DIGIT
+    codes[uppers[points[starts]] & ~begins] = NAME
+    codes[number] = NUMBER
+    after = np.flatnonzero(number[:-1] & ~number[1:]) + 1
+    units = [i for i in after.tolist() if lengths[i] <= 10 and text[starts[i] : ends[i]].lower() in UNITS]
+    codes[units] = UNIT
+    return codes, starts, ends
 
 
 def window_hashes(codes: np.ndarray) -> np.ndarray:
@@ -104,26 +96,24 @@ def window_hashes(codes: np.ndarray) -> np.ndarray:
     if n < WINDOW:
         if not n:
             return np.zeros(0, dtype=np.uint64)
-        whole = (codes * MULTIPLIERS[:n]).sum(dtype=np.uint64) + np.uint64(n)
-        return np.array([_mixed(whole)], dtype=np.uint64)
+        whole = (codes * MULTIPLIERS[:n]).sum(dtype=np.uint64, keepdims=True) + np.uint64(n)
+        return _mixed(whole)
     total = codes[: n - WINDOW + 1] * MULTIPLIERS[0]
     for i in range(1, WINDOW):
         total = total + codes[i : n - WINDOW + 1 + i] * MULTIPLIERS[i]
     return _mixed(total)
 
 
-def _mixed(x):
+def _mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
 
 
-def _slots(codes: np.ndarray, words: list[str], at: int) -> list[str]:
-    out = []
-    for i in range(at, min(at + WINDOW, len(words))):
-        if codes[i] <= UNIT:
-            out.append(f"{SLOT_NAMES[int(codes[i])]}:{''.join(TOKEN.findall(words[i])).lower()}")
-    return out
+def _slots(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: str, at: int) -> list[str]:
+    """``type:value`` of the slots of the window at token ``at``."""
+    found = [i for i in range(at, min(at + WINDOW, len(codes))) if codes[i] <= UNIT]
+    return [f"{SLOT_NAMES[int(codes[i])]}:{text[starts[i] : ends[i]].lower()}" for i in found]
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -134,18 +124,17 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     """
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        canonical = Canonical()
         for part in parts:
             rows = []
             for item, text in zip(part["item"], part["text"]):
-                codes, words = canonical.tokens(text)
+                codes, starts, ends = tokens(text)
                 hashes = window_hashes(codes).view(np.int64).tolist()
                 template = xxhash.xxh64_intdigest(codes.tobytes()) - (1 << 63)
-                rows += [(item, i, h, _slots(codes, words, i), len(hashes), template) for i, h in enumerate(hashes)]
-                if hashes and words[0][:1].isupper() and codes[0] > UNIT:
+                rows += [(item, i, h, _slots(codes, starts, ends, text, i), len(hashes), template) for i, h in enumerate(hashes)]
+                if hashes and text[starts[0]].isupper() and codes[0] > UNIT:
                     codes[0] = NAME
                     other = int(window_hashes(codes[:WINDOW]).view(np.int64)[0])
-                    rows.append((item, 0, other, _slots(codes, words, 0), len(hashes), template))
+                    rows.append((item, 0, other, _slots(codes, starts, ends, text, 0), len(hashes), template))
             yield pd.DataFrame(rows, columns=["item", "at", "hash", "slots", "windows", "template"])
 
     rows = benchmark.select(col(id_col).cast("long").alias("item"), col(text_col).alias("text"))
@@ -200,16 +189,16 @@ def find_contamination(
     bitmap = docs.sparkSession.sparkContext.broadcast(_filter(windows, total, max_filter_bytes))
 
     def candidates(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        canonical, seen = Canonical(), bitmap.value
+        seen = bitmap.value
         mask = np.uint64(len(seen) * 8 - 1)
         for part in parts:
             rows = []
             for doc, text in zip(part["id"], part["text"]):
-                codes, words = canonical.tokens(text)
+                codes, starts, ends = tokens(text)
                 hashes = window_hashes(codes)
                 bit = hashes & mask
                 hit = np.flatnonzero((seen[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
-                rows += [(doc, int(i), int(hashes[i].view(np.int64)), _slots(codes, words, i)) for i in hit]
+                rows += [(doc, int(i), int(hashes[i].view(np.int64)), _slots(codes, starts, ends, text, i)) for i in hit]
             yield pd.DataFrame(rows, columns=["id", "start", "hash", "ours"])
 
     texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text")).where("id is not null and text is not null")
