@@ -108,10 +108,12 @@ def fit(x: np.ndarray, labels: list[str], ridge: float = 1e-3) -> LanguageModel:
     zw = np.column_stack([z, np.ones(len(z), dtype=np.float32)]) * w[:, None].astype(np.float32)
     yw = y * w[:, None]
     gram = (zw @ zw.T).astype(float)
-    inverse = np.linalg.inv(gram + ridge * len(z) * gram.diagonal().mean() / 10 * np.eye(len(z)))
+    gram[np.diag_indices(len(z))] += ridge * len(z) * gram.diagonal().mean() / 10
+    inverse = np.linalg.inv(gram)
+    del gram, z
     dual = inverse @ yw
     held_out = (yw - dual / inverse.diagonal()[:, None]) / w[:, None]
-    full = zw.T @ dual
+    full = zw.T @ dual.astype(np.float32)
     weights, bias = full[:-1], full[-1] - mean @ full[:-1]
     right = ((held_out * y) > 0).mean(axis=0)
     trust = np.clip(2 * right - 1, 0.02, None)
@@ -162,12 +164,12 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, text_col: str
         for texts in parts:
             lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             second: list[str | None] = [None] * len(texts)
-            vectors = [features(t) if model else None for t in texts]
-            for at in range(0, len(vectors), 512):
-                known = [i for i in range(at, min(at + 512, len(vectors))) if vectors[i] is not None]
-                if not known:
+            for at in range(0, len(texts) if model else 0, 256):
+                vectors = {i: v for i, t in enumerate(texts.iloc[at : at + 256], at) if (v := features(t)) is not None}
+                if not vectors:
                     continue
-                best, share, other = model.decode(np.stack([vectors[i] for i in known]))
+                known = list(vectors)
+                best, share, other = model.decode(np.stack(list(vectors.values())))
                 score[known] = share
                 for i, b, o in zip(known, best, other):
                     lang[i], second[i] = model.languages[b], model.languages[o] if o != b else None
