@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,8 +70,7 @@ def bigrams(words: Column) -> Column:
 def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     """Least and greatest number of bigrams that can reach ``threshold`` against ``size`` of them:
     the Dice coefficient is at most twice the smaller number over the sum of both."""
-    least = -(-threshold * size // (2 - threshold)) if size else 0
-    return int(max(1, least)), int((2 - threshold) * size / threshold + 1e-9)
+    return max(1, ceil(threshold * size / (2 - threshold) - 1e-9)), floor((2 - threshold) * size / threshold + 1e-9)
 
 
 def template_table(templates: Sequence[tuple[str, str]]) -> list[tuple[str, list[str]]]:

@@ -134,4 +134,34 @@ QUERIES = {
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLES = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES = {
+    "op7_url_filter": r"""
+        with parts as (
+            select page_id,
+                   case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+            from pages),
+        urls as (
+            select row_number() over () as n, page_id,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+            from parts),
+        rules(verdict, rule_host, rule_path) as (
+            values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                   ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+        fits as (
+            select n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+                   arg_max(verdict, length(rule_host || rule_path)) as verdict
+            from urls join rules
+              on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+            group by n)
+        select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from urls left join fits using (n)
+    """,
+    "op9_exact_dedup": f"""
+        with texts as (select doc_id, sha256({_LOWER}) as text_sha256 from documents)
+        select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+               doc_id = max(doc_id) over same as kept, text_sha256
+        from texts window same as (partition by text_sha256)
+    """,
+}
