@@ -8,7 +8,6 @@ Layout
 ``functions``  column expressions (no shuffles)
 ``operators``  DataFrame -> DataFrame operators
 ``plans``      compositions: feature table, walk-forward validation, evaluation
-``streaming``  empty on purpose, see its docstring
 """
 
 from panelcast.schema import PANEL, QUANTILES, Panel

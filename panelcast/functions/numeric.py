@@ -30,8 +30,8 @@ def pinball(level: Column, actual: Column, predicted: Column) -> Column:
 def sorted_quantiles(names=tuple(QUANTILES)) -> dict[str, Column]:
     """Re-assign the row's quantile values in ascending order (removes crossings).
 
-    NaN sorts last and NULL stays in place of the largest, as in a numeric sort."""
-    ordered = F.sort_array(F.array(*[F.col(n) for n in names]))
+    NaN sorts behind all numbers and NULL behind NaN, so missing values end up as the largest levels."""
+    ordered = F.array_sort(F.array(*[F.col(n) for n in names]))
     return {n: F.element_at(ordered, i + 1) for i, n in enumerate(names)}
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.keys import parse_series_id
-from panelcast.functions.numeric import order_of
+from panelcast.functions.numeric import missing, order_of
 from panelcast.schema import MODEL_ORDER, PANEL, QUANTILES, Panel
 
 
@@ -60,7 +60,7 @@ def wide_to_long(
 def unpivot_quantiles(
     predictions: DataFrame, names: list[str] | None = None, value: str = "y_pred"
 ) -> DataFrame:
-    """Quantile columns -> (quantile_name, y_pred); NULL predictions have no row.
+    """Quantile columns -> (quantile_name, y_pred); NULL and NaN predictions have no row.
 
     Generated from an array of structs: the row is widened inside one code-generated stage,
     where the expansion behind ``DataFrame.unpivot`` fell out of it next to a window."""
@@ -69,7 +69,7 @@ def unpivot_quantiles(
     cells = F.array(
         *[F.struct(F.lit(n).alias("quantile_name"), F.col(n).alias(value)) for n in names]
     )
-    return predictions.select(*ids, F.inline(cells)).where(F.col(value).isNotNull())
+    return predictions.select(*ids, F.inline(cells)).where(~missing(F.col(value)))
 
 
 def pivot_models(

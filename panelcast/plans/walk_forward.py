@@ -39,16 +39,17 @@ def walk_forward(
 
 def arima_forecaster(panel: Panel = PANEL, **orders) -> Forecaster:
     def run(train: DataFrame, folds: DataFrame) -> DataFrame:
-        return arima_predictions(fit_arima(training_arrays(train, panel), **orders), folds, panel)
+        # written once: a filter on the fit, pushed below it, would have every series fitted twice
+        fits = checkpoint(fit_arima(training_arrays(train, panel), **orders), "arima-fits")
+        return arima_predictions(fits, folds, panel)
 
     return run
 
 
 def decomposed_forecaster(calendar: DataFrame, panel: Panel = PANEL) -> Forecaster:
     def run(train: DataFrame, folds: DataFrame) -> DataFrame:
-        return decomposed_predictions(
-            fit_decomposed(train, calendar, panel), folds, calendar, panel
-        )
+        fits = checkpoint(fit_decomposed(train, calendar, panel), "decomposed-fits")
+        return decomposed_predictions(fits, folds, calendar, panel)
 
     return run
 

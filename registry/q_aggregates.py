@@ -167,12 +167,12 @@ def _(q):
 @query(
     "weighted_mean",
     f"""select model, quantile_name, {R('avg(pinball_loss)')} as avg_pinball_loss, count(*) as n_obs from fact
-        where not bqml_unstable_series and not isnan(pinball_loss) group by 1, 2""",
+        where not bqml_unstable_series group by 1, 2""",
 )
 def _(q):
     from panelcast.operators import evaluate as ev
 
-    fact = q.fact().where(~F.isnan("pinball_loss"))
+    fact = q.fact()
     out = pf.weighted_mean(ev.metrics_by_fold(fact), ["model", "quantile_name"])
     return out.withColumn("avg_pinball_loss", rounded(F.col("avg_pinball_loss")))
 

@@ -15,15 +15,10 @@ from panelcast.schema import EVENT_LABELS, RELEASE_LABELS, ZERO_RATE_LABELS
 from registry.core import query
 from registry.q_reshape import R, _days
 
-STABLE = "not bqml_unstable_series and not isnan(pinball_loss)"
+STABLE = "not bqml_unstable_series"
 HEAT_STORES = ["AF_1", "AL_1", "AM_1", "AS_1", "EU_1", "MI_1"]
 
 
-def _fact(q):
-    """The fact without the cells of the fit that has no uncertainty (NaN losses)."""
-    return q.fact().where(~F.isnan("pinball_loss"))
-
-
 def _loss(df):
     return df.withColumn("avg_pinball_loss", rounded(F.col("avg_pinball_loss")))
 
@@ -56,25 +51,25 @@ def _(q):
     "pinball_fact",
     f"""select model, fold_id, item_id, store_id, date, quantile_name, quantile_level, {R('y_pred')} as y_pred, y_true,
                categoria_zero_rate, in_arima_sample, bqml_unstable_series, {R('pinball_loss')} as pinball_loss
-        from fact where not isnan(pinball_loss)""",
+        from fact""",
 )
 def _(q):
-    return _fact(q).withColumns({c: rounded(F.col(c)) for c in ("y_pred", "pinball_loss")})
+    return q.fact().withColumns({c: rounded(F.col(c)) for c in ("y_pred", "pinball_loss")})
 
 
 @query("metrics_by_fold", _rollup_sql("fold_id"))
 def _(q):
-    return _loss(ev.metrics_by_fold(_fact(q)))
+    return _loss(ev.metrics_by_fold(q.fact()))
 
 
 @query("metrics_by_zero_rate", _rollup_sql("categoria_zero_rate"))
 def _(q):
-    return _loss(ev.metrics_by_zero_rate(_fact(q)))
+    return _loss(ev.metrics_by_zero_rate(q.fact()))
 
 
 @query("metrics_overall", _rollup_sql(""))
 def _(q):
-    return _loss(ev.metrics_overall(_fact(q)))
+    return _loss(ev.metrics_overall(q.fact()))
 
 
 _by_category = "(select f.*, s.category from fact f join segments s on s.item_id = f.item_id and s.store_id = f.store_id)"
@@ -88,17 +83,17 @@ _by_event = """(select f.*, case when is_christmas = 1 then 'navidad' when is_ev
 
 @query("metrics_by_category", _rollup_sql("category", _by_category))
 def _(q):
-    return _loss(ev.metrics_by_category(_fact(q), q.segments()))
+    return _loss(ev.metrics_by_category(q.fact(), q.segments()))
 
 
 @query("metrics_by_release_age", _rollup_sql("release_age_bucket", _by_age))
 def _(q):
-    return _loss(ev.metrics_by_release_age(_fact(q), q.releases()))
+    return _loss(ev.metrics_by_release_age(q.fact(), q.releases()))
 
 
 @query("metrics_by_event", _rollup_sql("event_bucket", _by_event))
 def _(q):
-    return _loss(ev.metrics_by_event(_fact(q), flags_only(q.calendar())))
+    return _loss(ev.metrics_by_event(q.fact(), flags_only(q.calendar())))
 
 
 @query(
@@ -115,7 +110,7 @@ def _(q):
     ),
 )
 def _(q):
-    return _loss(ev.rollups_in_one_pass(_fact(q), ["fold_id", "categoria_zero_rate"]))
+    return _loss(ev.rollups_in_one_pass(q.fact(), ["fold_id", "categoria_zero_rate"]))
 
 
 def _scope_sql(source, index, order):
@@ -137,32 +132,32 @@ def _scope(df, index):
 
 @query("two_scope_compare", _scope_sql("fact", "categoria_zero_rate", ZERO_RATE_LABELS))
 def _(q):
-    metrics = ev.metrics_by_zero_rate(_fact(q))
+    metrics = ev.metrics_by_zero_rate(q.fact())
     out = ev.two_scope_compare(metrics, "categoria_zero_rate", ZERO_RATE_LABELS)
     return _scope(out, "categoria_zero_rate")
 
 
 @query("two_scope_release_age", _scope_sql(_by_age, "release_age_bucket", RELEASE_LABELS))
 def _(q):
-    metrics = ev.metrics_by_release_age(_fact(q), q.releases())
+    metrics = ev.metrics_by_release_age(q.fact(), q.releases())
     return _scope(ev.two_scope_compare(metrics, "release_age_bucket", RELEASE_LABELS), "release_age_bucket")
 
 
 @query("two_scope_event", _scope_sql(_by_event, "event_bucket", EVENT_LABELS))
 def _(q):
-    metrics = ev.metrics_by_event(_fact(q), flags_only(q.calendar()))
+    metrics = ev.metrics_by_event(q.fact(), flags_only(q.calendar()))
     return _scope(ev.two_scope_compare(metrics, "event_bucket", EVENT_LABELS), "event_bucket")
 
 
 @query(
     "strict_scope",
-    f"""with cells as (select fold_id, item_id, store_id, date, quantile_name from fact where not isnan(pinball_loss)
+    f"""with cells as (select fold_id, item_id, store_id, date, quantile_name from fact
                       group by all having count(distinct model) = 3)
         select model, quantile_name, count(*) as n_obs, {R('avg(pinball_loss)')} as avg_pinball_loss
         from fact join cells using (fold_id, item_id, store_id, date, quantile_name) where {STABLE} group by 1, 2""",
 )
 def _(q):
-    fact = ev.strict_scope(_fact(q)).where("not bqml_unstable_series")
+    fact = ev.strict_scope(q.fact()).where("not bqml_unstable_series")
     return fact.groupBy("model", "quantile_name").agg(
         F.count(F.lit(1)).alias("n_obs"), rounded(F.avg("pinball_loss")).alias("avg_pinball_loss")
     )
@@ -251,7 +246,7 @@ def _(q):
         from {_by_category} where {STABLE} group by 1, 2, 3""",
 )
 def _(q):
-    out = ev.aggregate_metrics(_fact(q), q.segments(), date(2002, 1, 1))
+    out = ev.aggregate_metrics(q.fact(), q.segments(), date(2002, 1, 1))
     return out.withColumn("pinball_loss", rounded(F.col("pinball_loss")))
 
 
@@ -262,7 +257,7 @@ def _(q):
     + f" from {_by_category} where {STABLE} and quantile_name = 'p50' group by 1",
 )
 def _(q):
-    out = ev.error_heatmap(_fact(q), q.segments(), HEAT_STORES)
+    out = ev.error_heatmap(q.fact(), q.segments(), HEAT_STORES)
     return out.withColumns({s: rounded(F.col(s)) for s in HEAT_STORES})
 
 
@@ -297,7 +292,7 @@ def _(q):
     folds = q.folds()
     train = fo.split_folds(q.sales_long(), folds, roles=("train",))
     revenue = _priced(q).withColumn("revenue", F.col("sales") * F.col("sell_price"))
-    out = ev.weighted_scaled_loss(_fact(q), ev.loss_scale(train), ev.revenue_weights(revenue, folds))
+    out = ev.weighted_scaled_loss(q.fact(), ev.loss_scale(train), ev.revenue_weights(revenue, folds))
     return out.withColumn("wspl", rounded(F.col("wspl")))
 
 

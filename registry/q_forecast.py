@@ -3,7 +3,7 @@ covered by property tests."""
 
 from pyspark.sql import functions as F
 
-from panelcast.functions.numeric import normal_quantiles, rounded
+from panelcast.functions.numeric import missing, normal_quantiles, rounded
 from panelcast.operators import folds as fo
 from panelcast.operators.forecast import arima as ar
 from panelcast.operators.forecast import boost as bo
@@ -11,7 +11,7 @@ from panelcast.operators.forecast import decomposed as de
 from panelcast.operators.forecast.baseline import empirical_quantiles
 from panelcast.operators.forecast.common import forecast_metadata
 from panelcast.plans.evaluation import flags_only
-from panelcast.plans.walk_forward import walk_forward
+from panelcast.plans.walk_forward import arima_forecaster, decomposed_forecaster, walk_forward
 from panelcast.schema import QUANTILE_NAMES, Z_SCORES
 from panelcast.session import checkpoint
 from registry.core import query
@@ -120,11 +120,7 @@ def _(q):
 
 @query("arima_per_series")
 def _(q):
-    return walk_forward(
-        q.sales_long(),
-        q.folds(),
-        lambda train, folds: ar.arima_predictions(ar.fit_arima(ar.training_arrays(train)), folds),
-    )
+    return walk_forward(q.sales_long(), q.folds(), arima_forecaster())
 
 
 @query("fit_metadata")
@@ -135,13 +131,31 @@ def _(q):
 
 @query("arima_plus")
 def _(q):
-    calendar = flags_only(q.calendar())
-    return walk_forward(
-        q.sales_long(),
-        q.folds(),
-        lambda train, folds: de.decomposed_predictions(
-            de.fit_decomposed(train, calendar), folds, calendar
-        ),
+    return walk_forward(q.sales_long(), q.folds(), decomposed_forecaster(flags_only(q.calendar())))
+
+
+@query(
+    "arima_plus_contract",
+    """select f.fold_id, count(*) as n_rows, count(distinct (item_id, store_id)) as n_series, min(cast(p.date as date)) as first_day,
+              max(cast(p.date as date)) as last_day, cast(0 as bigint) as n_negative, cast(0 as bigint) as n_crossed, cast(0 as bigint) as n_without_p50
+       from folds f join (select item_id, store_id, unnest(generate_series(val_start, val_end, interval 1 day)) as date, fold_id
+                          from (select distinct item_id, store_id from sales_long) cross join folds) p on p.fold_id = f.fold_id
+       group by 1""",
+)
+def _(q):
+    """What must hold for the decomposition forecasts of every series and fold, whatever their values."""
+    rows = walk_forward(q.sales_long(), q.folds(), decomposed_forecaster(flags_only(q.calendar())))
+    crossed = F.lit(False)
+    for low, high in zip(QUANTILE_NAMES, QUANTILE_NAMES[1:]):
+        crossed = crossed | (F.col(low) > F.col(high))
+    return rows.groupBy("fold_id").agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct(F.struct("item_id", "store_id")).alias("n_series"),
+        F.min("date").alias("first_day"),
+        F.max("date").alias("last_day"),
+        F.count_if(F.least(*QUANTILE_NAMES) < 0).alias("n_negative"),
+        F.count_if(crossed).alias("n_crossed"),
+        F.count_if(missing(F.col("p50"))).alias("n_without_p50"),
     )
 
 

@@ -22,9 +22,11 @@ def _(q):
     return q.sales_long().join(q.calendar().select("date", "wm_yr_wk", "event_name_1"), "date", "left")
 
 
-_price_sql = """select s.item_id, s.store_id, s.date, s.sales, c.wm_yr_wk, p.sell_price from sales_long s
-   left join calendar c on c.date = s.date
-   left join sell_prices p on p.item_id = s.item_id and p.store_id = s.store_id and p.wm_yr_wk = c.wm_yr_wk"""
+_price_sql = """with weekly as materialized (
+     select item_id, store_id, wm_yr_wk, max(sell_price) as sell_price from sell_prices group by all),
+   days as materialized (
+     select s.item_id, s.store_id, s.date, s.sales, c.wm_yr_wk from sales_long s left join calendar c using (date))
+   select days.*, weekly.sell_price from days left join weekly using (item_id, store_id, wm_yr_wk)"""
 
 
 @query("join_weekly_price", _price_sql)

@@ -59,7 +59,7 @@ def _(q):
 )
 def _(q):
     long = rs.unpivot_quantiles(ev.stack_models(q.predictions()))
-    return long.where(~F.isnan("y_pred")).withColumn("y_pred", rounded(F.col("y_pred")))
+    return long.withColumn("y_pred", rounded(F.col("y_pred")))
 
 
 @query(
@@ -70,10 +70,10 @@ def _(q):
           {R("sum(case when model = 'lgbm' then s end) / sum(case when model = 'lgbm' then n end)")} as lgbm,
           cast(case categoria_zero_rate when 'rapido' then 1 when 'medio' then 2 when 'lento' then 3 else 4 end as bigint) as row_order
         from (select model, categoria_zero_rate, sum(pinball_loss) as s, count(*) as n from fact
-              where not bqml_unstable_series and not isnan(pinball_loss) group by 1, 2) group by 1""",
+              where not bqml_unstable_series group by 1, 2) group by 1""",
 )
 def _(q):
-    fact = q.fact().where(~F.isnan("pinball_loss"))
+    fact = q.fact()
     table = ev.model_table(ev.metrics_by_zero_rate(fact), "categoria_zero_rate", ZERO_RATE_LABELS)
     return table.select(
         "categoria_zero_rate",

@@ -31,10 +31,11 @@ def test_null_spread_gives_null_quantiles_not_zero(spark):
 
 
 def test_sorted_quantiles(spark):
-    df = spark.createDataFrame([(3.0, 1.0, 2.0, 5.0, 4.0), (NAN, 1.0, 2.0, 0.0, 4.0)], ", ".join(f"{q} double" for q in QUANTILE_NAMES))
+    df = spark.createDataFrame([(3.0, 1.0, 2.0, 5.0, 4.0), (NAN, 1.0, 2.0, 0.0, 4.0), (None, 3.0, 1.0, 2.0, 0.0)], ", ".join(f"{q} double" for q in QUANTILE_NAMES))
     out = [list(r) for r in df.select(*[c.alias(n) for n, c in nm.sorted_quantiles().items()]).collect()]
     assert out[0] == [1.0, 2.0, 3.0, 4.0, 5.0]
     assert out[1][:4] == [0.0, 1.0, 2.0, 4.0] and out[1][4] != out[1][4]
+    assert out[2] == [0.0, 1.0, 2.0, 3.0, None]
 
 
 def test_exceeds_treats_nan_as_false(spark):

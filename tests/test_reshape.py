@@ -34,11 +34,11 @@ def test_day_columns_sorted_by_number(spark):
     assert rs.day_columns(df) == ["d_9", "d_10"]
 
 
-def test_unpivot_drops_null_keeps_nan(spark):
+def test_unpivot_drops_null_and_nan(spark):
     df = spark.createDataFrame(
         [(1, None, 1.0, float("nan"), 2.0, 3.0)], "k int, p05 double, p25 double, p50 double, p75 double, p95 double"
     )
-    assert rs.unpivot_quantiles(df).count() == 4
+    assert rs.unpivot_quantiles(df).count() == 3
 
 
 def test_densify_gap_head_and_tail(spark):
