@@ -45,6 +45,16 @@ def word_count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield raw.map(lambda b: len(b.split()) if b is not None else 0).astype("int64")
 
 
+def bounded_batches(df: DataFrame, rows: int = 500, size: str = "32m") -> DataFrame:
+    """``df``; its session from now on hands texts to Python in batches of at most ``rows`` rows and about
+    ``size``. Spark's default of 10,000 rows would hold as many whole texts at once in each Python worker."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame, written to the shared folder and read again: computed once, safe when executors go."""
     return checkpoint(df, f"llm-{name}")

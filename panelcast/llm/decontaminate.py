@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import BROADCAST_ROWS, col, stored, without
+from panelcast.llm.common import BROADCAST_ROWS, bounded_batches, col, stored, without
 
 #: Words that are units when they follow a number.
 UNITS = frozenset(
@@ -137,7 +137,7 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
                     rows.append((item, 0, other, _slots(codes, starts, ends, text, 0), len(hashes), template))
             yield pd.DataFrame(rows, columns=["item", "at", "hash", "slots", "windows", "template"])
 
-    rows = benchmark.select(col(id_col).cast("long").alias("item"), col(text_col).alias("text"))
+    rows = bounded_batches(benchmark).select(col(id_col).cast("long").alias("item"), col(text_col).alias("text"))
     return rows.where("item is not null and text is not null").mapInPandas(
         of, "item long, at int, hash long, slots array<string>, windows int, template long"
     )
@@ -201,7 +201,7 @@ def find_contamination(
                 rows += [(doc, int(i), int(hashes[i].view(np.int64)), _slots(codes, starts, ends, text, i)) for i in hit]
             yield pd.DataFrame(rows, columns=["id", "start", "hash", "ours"])
 
-    texts = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text")).where("id is not null and text is not null")
+    texts = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), col(text_col).alias("text")).where("id is not null and text is not null")
     found = texts.mapInPandas(candidates, "id long, start int, hash long, ours array<string>")
     side = F.broadcast(windows) if total <= BROADCAST_ROWS else windows
     met = found.join(side, "hash").select("id", "item", "items", "windows", "at", "start", F.arrays_zip("theirs", "ours").alias("slots"))

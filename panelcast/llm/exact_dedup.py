@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.common import col, join_groups, stored
+from panelcast.llm.common import bounded_batches, col, join_groups, stored
 
 #: Bits of one built-in bitmap (its fixed width of 4 KiB).
 BITMAP_BITS = 32768
@@ -91,7 +91,7 @@ def exact_duplicates(
     and only the others shuffle, as fixed-width hashes. A larger corpus keeps the full number of
     bits, and the filter is joined by a shuffle of hashes instead.
     """
-    rows = docs.select(col(id_col).alias("id"), _fingerprint(col(text_col).cast("binary")).alias("f"))
+    rows = bounded_batches(docs).select(col(id_col).alias("id"), _fingerprint(col(text_col).cast("binary")).alias("f"))
     rows = stored(rows.select("id", "f.text_sha256", "f.hash"), "hashes")
     total = rows.count()
     bits = BITMAP_BITS

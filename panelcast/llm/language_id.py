@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import col, unit
+from panelcast.llm.common import bounded_batches, col, unit
 
 DIMENSIONS = 4096
 #: Odd multipliers of the n-gram hash, by position of the character.
@@ -125,7 +125,7 @@ def fit(x: np.ndarray, labels: list[str], ridge: float = 1e-3) -> LanguageModel:
 def train(docs: DataFrame, text_col: str, lang_col: str, key: Column, max_rows: int = 2400) -> LanguageModel | None:
     """A model of whole texts and their languages, from about ``max_rows`` rows shared evenly among the languages and
     chosen by a hash of ``key`` (null and letterless texts teach nothing). None without any language."""
-    rows = docs.where(col(lang_col).isNotNull() & col(text_col).isNotNull())
+    rows = bounded_batches(docs).where(col(lang_col).isNotNull() & col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(col(lang_col)).count().collect()}
     if not counts:
         return None
@@ -178,4 +178,5 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, text_col: str
                 columns=["lang_pred", "score", "second", "ambiguous"],
             )
 
+    bounded_batches(docs)
     return predict(col(text_col))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.common import col, stored, unit, word_count
+from panelcast.llm.common import bounded_batches, col, stored, unit, word_count
 
 
 def source_targets(sizes: Sequence[float], weights: Sequence[float], most: float) -> np.ndarray:
@@ -109,7 +109,7 @@ def entropy_balance(
 
 def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more) -> DataFrame:
     text = col(text_col)
-    return docs.select(
+    return bounded_batches(docs).select(
         col(id_col).alias("id"),
         col(source_col).cast("string").alias("source"),
         word_count(text.cast("binary")).alias("size"),

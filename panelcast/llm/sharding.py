@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from panelcast.llm.common import col, stored, word_count
+from panelcast.llm.common import bounded_batches, col, stored, word_count
 
 #: What is balanced, in the order of the vectors.
 MEASURES = ("size", "tokens", "rows")
@@ -85,7 +85,7 @@ def assign_shards(
     cells = shards * bundles_per_shard
     text = col(text_col)
     raw = text.cast("binary")
-    rows = docs.select(
+    rows = bounded_batches(docs).select(
         col(id_col).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
         word_count(raw).alias("tokens"),

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import col, fresh, join_groups, stored, without
+from panelcast.llm.common import bounded_batches, col, fresh, join_groups, stored, without
 
 WIDTH = 64
 #: Shingles whose bits are summed at once; bounds the memory of a very long text.
@@ -215,7 +215,7 @@ def near_duplicates(
     fingerprint once, so copies cost nothing but their row.
     """
     raw = col(text_col).cast("binary")
-    rows = stored(docs.select(col(id_col).alias("id"), _fingerprints(shingle)(raw).alias("fp")), "simhash")
+    rows = stored(bounded_batches(docs).select(col(id_col).alias("id"), _fingerprints(shingle)(raw).alias("fp")), "simhash")
     points = stored(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "points")
     n, total = points.count(), rows.count()
     of = stored(components(fingerprint_links(points.select("fp"), n, radius)), "components")

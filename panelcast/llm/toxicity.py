@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import col, fresh, stored, unit
+from panelcast.llm.common import bounded_batches, col, fresh, stored, unit
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -101,7 +101,7 @@ def train(
     prior = min(max(toxic / known, 1e-3), 0.9)
     draw = unit(F.xxhash64("id", F.lit("toxic")))
     chosen = marks.where((F.col("toxic") == 1) & (draw < max_positive / toxic)).select("id", F.lit(True).alias("positive"))
-    source = docs.where(learn) if learn is not None else docs
+    source = bounded_batches(docs).where(learn) if learn is not None else bounded_batches(docs)
     rows = source.select(col(id_col).alias("id"), col(text_col).alias("text")).where("id is not null and text is not null")
     total = rows.count()
     rows = rows.join(F.broadcast(chosen), "id", "left").withColumn("unlabelled", unit(F.xxhash64("id", F.lit("any"))) < max_unlabelled / max(total, 1))
