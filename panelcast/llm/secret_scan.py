@@ -27,10 +27,11 @@ CLASSES: tuple[tuple[str, str, str, float], ...] = (
     ("base64", r"^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.7),
 )
 #: Patterns of harmless candidates: separators and paths, words with separators, placeholders, UUIDs.
+#: Repeated groups are possessive: others recurse once for each repetition and overflow on long candidates.
 ALLOW = (
     r"^(.)\1*$",
     r"^[-_=+/]+$",
-    r"^/?(?:[a-z]+[-_/])+[a-z]*$",
+    r"^/?(?:[a-z]++[-_/])++[a-z]*+$",
     r"(?i)example|sample|placeholder|changeme|xxxx|test[-_]?key",
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^(?:0123456789|abcdefghijklm|ABCDEFGHIJKLM)",
