@@ -49,11 +49,17 @@ def _powers(size: int) -> np.ndarray:
     return np.multiply.accumulate(np.full(size, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
 
-def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def plain(text: str | None) -> str:
+    """The text with the one common letter that capitals spell otherwise in their spelling."""
+    return text.replace("ß", "ss").replace("ẞ", "SS") if text else ""
+
+
+def tokens(text: str, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes, starts and ends of a text's tokens: runs of letters, and numbers with their points and commas.
 
-    Slots have the codes NUMBER, UNIT (a unit word next after a number) and NAME (a capitalised word that does not
-    begin a sentence or line); the code of any other word is a hash of its lower-case letters.
+    Slots have the codes NUMBER, UNIT (a unit word next after a number) and, if ``names``, NAME (a capitalised word that
+    neither begins a sentence or line nor stands beside another one wholly in capitals, being so itself); the code of
+    any other word is a hash of its lower-case letters.
     """
     none = np.zeros(0, dtype=np.int64)
     if not text:
@@ -82,7 +88,12 @@ def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begins = np.ones(len(starts), dtype=bool)
     begins[1:] = ended[starts[1:]] > ended[starts[:-1]]
     number = kind[starts] == DIGIT
-    codes[uppers[points[starts]] & ~begins] = NAME
+    if names:
+        capitals = np.add.reduceat(uppers[points[kind > 0]].astype(np.int64), first) == lengths
+        beside = np.zeros(len(starts), dtype=bool)
+        beside[1:] = capitals[:-1]
+        beside[:-1] |= capitals[1:]
+        codes[uppers[points[starts]] & ~begins & ~(capitals & beside)] = NAME
     codes[number] = NUMBER
     after = np.flatnonzero(number[:-1] & ~number[1:]) + 1
     units = [i for i in after.tolist() if lengths[i] <= 10 and text[starts[i] : ends[i]].lower() in UNITS]
@@ -120,17 +131,25 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     """(item, at, hash, slots, windows, template) for every window of every item; rows without id or token have none.
 
     The first word of an item may stand inside a sentence of a document. If it is capitalised, the first window
-    comes a second time with a name in its place.
+    comes a second time with a name in its place. A document wholly in capitals or in lower case shows no
+    names: windows with names come a second time with the words themselves.
     """
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
-            for item, text in zip(part["item"], part["text"]):
+            for item, text in zip(part["item"], map(plain, part["text"])):
                 codes, starts, ends = tokens(text)
                 hashes = window_hashes(codes).view(np.int64).tolist()
                 template = xxhash.xxh64_intdigest(codes.tobytes()) - (1 << 63)
                 rows += [(item, i, h, _slots(codes, starts, ends, text, i), len(hashes), template) for i, h in enumerate(hashes)]
+                words = tokens(text, names=False)[0]
+                spelt = window_hashes(words).view(np.int64).tolist()
+                rows += [
+                    (item, i, h, _slots(words, starts, ends, text, i), len(hashes), template)
+                    for i, h in enumerate(spelt)
+                    if h != hashes[i]
+                ]
                 if hashes and text[starts[0]].isupper() and codes[0] > UNIT:
                     codes[0] = NAME
                     other = int(window_hashes(codes[:WINDOW]).view(np.int64)[0])
@@ -193,7 +212,7 @@ def find_contamination(
         mask = np.uint64(len(seen) * 8 - 1)
         for part in parts:
             rows = []
-            for doc, text in zip(part["id"], part["text"]):
+            for doc, text in zip(part["id"], map(plain, part["text"])):
                 codes, starts, ends = tokens(text)
                 hashes = window_hashes(codes)
                 bit = hashes & mask
