@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,13 +19,23 @@ WORD = re.compile(r"[^\W\d_]+")
 
 #: Lengths of the word beginnings that count as features of their own (stems of inflected words).
 STEMS = (4, 5, 6)
+#: A beginning is frequent in a text where it occurs at least twice and in one of this many words.
+FREQUENT = 150
 
 
 def features(text: str | None) -> set[str]:
-    """The distinct lower-case words of the whole text and their beginnings (marked by a hyphen); null has none."""
-    found = set(WORD.findall(text.lower())) if text else set()
-    stems = [{w[:n] + "-" for w in found if len(w) > n} for n in STEMS]
-    return found.union(*stems)
+    """The distinct lower-case words of the whole text, their beginnings (marked by a hyphen) and the frequent
+    beginnings (marked by two: one chance occurrence in a long text says less than several); null has none."""
+    words = Counter(WORD.findall(text.lower())) if text else Counter()
+    found, total = set(words), words.total()
+    for n in STEMS:
+        stems: Counter[str] = Counter()
+        for word, times in words.items():
+            if len(word) > n:
+                stems[word[:n]] += times
+        found.update(f"{stem}-" for stem in stems)
+        found.update(f"{stem}--" for stem, times in stems.items() if times > 1 and times * FREQUENT >= total)
+    return found
 
 
 @dataclass
