@@ -6,6 +6,9 @@
     python -m panelcast.jobs features  --base DIR --epoch 2011-01-29
     python -m panelcast.jobs folds     --base DIR [--write]
     python -m panelcast.jobs cv        --base DIR --model arima|bqml|lgbm [--fold N] [--rebuild]
+                                       [--rounds N --learning-rate X --max-depth N]
+    python -m panelcast.jobs last      --base DIR --model ...   (the last fold alone, in tables of its own)
+    python -m panelcast.jobs labels    --base DIR --epoch 2011-01-29
     python -m panelcast.jobs evaluate  --base DIR
     python -m panelcast.jobs diagnose  --base DIR
 
@@ -16,10 +19,12 @@ from __future__ import annotations
 
 import argparse
 import logging
+import re
 from datetime import date as Date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelcast.operators import evaluate as ev
 from panelcast.operators import folds as fo
@@ -39,7 +44,7 @@ from panelcast.sources.readers import read_panel_csvs, read_table
 from panelcast.sources.writers import (
     conform,
     materialise_once,
-    write_fold,
+    write_folds,
     write_partitioned,
     write_truncate,
 )
@@ -49,11 +54,25 @@ log = logging.getLogger(__name__)
 # Raw file of each table.
 RAW_FILES = {
     "sales_wide": "sales_train_validation.csv",
+    "sales_wide_evaluation": "sales_train_evaluation.csv",
     "sell_prices": "sell_prices.csv",
     "calendar": "calendar.csv",
 }
 
 
+def raw_type(column: str) -> T.DataType:
+    """Type of a raw file's column."""
+    if column == "date":
+        return T.DateType()
+    if column == "sell_price":
+        return T.DoubleType()
+    if column == "wm_yr_wk" or re.fullmatch(r"d_\d+", column):
+        return T.LongType()
+    if column in ("wday", "month", "year") or column.startswith("snap_"):
+        return T.IntegerType()
+    return T.StringType()
+
+
 class Study:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -68,16 +87,20 @@ class Study:
     def load(self, data_dir: str) -> list[str]:
         """CSV files to tables; files that are missing are skipped."""
         files = {table: join_path(data_dir, name) for table, name in RAW_FILES.items()}
-        loaded = read_panel_csvs(self.spark, files)
+        loaded = read_panel_csvs(self.spark, files, dict.fromkeys(files, raw_type))
         for table, df in loaded.items():
-            if "date" in df.columns:
-                df = df.withColumn("date", F.col("date").cast("date"))
             df.write.mode("overwrite").parquet(self.path(table))
         return sorted(loaded)
 
     def reshape(self, epoch: Date) -> None:
         write_partitioned(wide_to_long(self.read("sales_wide"), epoch), self.path("sales_long"))
 
+    def labels(self, epoch: Date) -> None:
+        """The days of the second wide file behind the last day of the first, in a table of their own."""
+        known = self.read("sales_long").agg(F.max("date").alias("_last"))
+        later = wide_to_long(self.read("sales_wide_evaluation"), epoch).join(F.broadcast(known), F.col("date") > F.col("_last"))
+        write_partitioned(later.drop("_last"), self.path("test_labels"))
+
     def segments(self, per_stratum: int = 8, sample_size: int = 3000) -> None:
         """Segments, the balanced sample and the proportional sample that contains it."""
         write = lambda df, table: df.write.mode("overwrite").parquet(self.path(table))
@@ -120,8 +143,7 @@ class Study:
 
     def _store(self, rows: DataFrame, table: str, schema, ids: list[int]) -> None:
         kept = checkpoint(conform(rows, schema), table)
-        for i in ids:
-            write_fold(kept, self.path(table), i, schema)
+        write_folds(kept, self.path(table), ids, schema)
 
     def cv(
         self, model: str, fold: int | None = None, rebuild: bool = False,
@@ -130,6 +152,17 @@ class Study:
         """Fit and predict every fold (or one) and store predictions and metadata by fold."""
         folds = self.folds(**layout)
         folds = folds if fold is None else fo.select_fold(folds, fold)
+        self._forecast(model, folds, "_cv", rebuild, params)
+        wrong = check_forecast_range(self.predictions(model), folds).where("not ok")
+        for r in wrong.collect():  # at most one row per fold
+            log.warning("fold %s: forecast %s..%s", r["fold_id"], r["pred_min"], r["pred_max"])
+
+    def last(self, model: str, rebuild: bool = False, params: BoostParams = BoostParams(), **layout) -> None:
+        """Fit on the days before the last validation window and forecast that window, in tables of its own."""
+        end = self.read("sales_long").agg(F.max("date")).first()[0]
+        self._forecast(model, fo.single_fold(self.spark, end, **layout), "", rebuild, params)
+
+    def _forecast(self, model: str, folds: DataFrame, suffix: str, rebuild: bool, params: BoostParams) -> None:
         ids = [r["fold_id"] for r in folds.select("fold_id").orderBy("fold_id").collect()]
         segments = self.read("series_segments")
         if model == "arima":
@@ -137,14 +170,14 @@ class Study:
             train = fo.split_folds(sales, folds, roles=("train",))
             fits = checkpoint(ar.fit_arima(ar.training_arrays(train)), "arima-fits")
             predictions = ar.arima_predictions(fits, folds)
-            self._store(ar.arima_metadata(fits, segments), "arima_metadata_cv", ARIMA_METADATA, ids)
+            self._store(ar.arima_metadata(fits, segments), f"arima_metadata{suffix}", ARIMA_METADATA, ids)
         elif model == "bqml":
             calendar = flags_only(self.read("calendar"))
             train = fo.split_folds(self._sampled_sales(rebuild), folds, roles=("train",))
             fits = checkpoint(de.fit_decomposed(train, calendar), "decomposed-fits")
             predictions = de.decomposed_predictions(fits, folds, calendar)
             self._store(
-                forecast_metadata(predictions, segments), "bqml_metadata_cv", UNCERTAINTY_METADATA, ids
+                forecast_metadata(predictions, segments), f"bqml_metadata{suffix}", UNCERTAINTY_METADATA, ids
             )
         elif model == "lgbm":
             rows = self.read("features_train").join(
@@ -153,11 +186,7 @@ class Study:
             predictions = boost_walk_forward(rows, folds, params)
         else:
             raise ValueError(f"unknown model {model}")
-        table = f"{model}_predictions_cv"
-        self._store(predictions, table, PREDICTIONS, ids)
-        wrong = check_forecast_range(self.predictions(model), folds).where("not ok")
-        for r in wrong.collect():  # at most one row per fold
-            log.warning("fold %s: forecast %s..%s", r["fold_id"], r["pred_min"], r["pred_max"])
+        self._store(predictions, f"{model}_predictions{suffix}", PREDICTIONS, ids)
 
     def predictions(self, model: str) -> DataFrame:
         return self.spark.read.schema(PREDICTIONS).parquet(self.path(f"{model}_predictions_cv"))
@@ -181,7 +210,7 @@ class Study:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="panelcast.jobs")
-    ap.add_argument("step", choices=["load", "reshape", "segments", "features", "folds", "cv", "evaluate", "diagnose"])
+    ap.add_argument("step", choices=["load", "reshape", "segments", "features", "folds", "cv", "last", "labels", "evaluate", "diagnose"])
     ap.add_argument("--base", required=True)
     ap.add_argument("--data")
     ap.add_argument("--epoch", type=Date.fromisoformat, default=Date(2011, 1, 29))
@@ -190,8 +219,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--model", choices=["arima", "bqml", "lgbm"])
     ap.add_argument("--fold", type=int)
     ap.add_argument("--rebuild", action="store_true")
+    ap.add_argument("--rounds", type=int, default=BoostParams.rounds)
+    ap.add_argument("--learning-rate", type=float, default=BoostParams.learning_rate)
+    ap.add_argument("--max-depth", type=int, default=BoostParams.max_depth)
     args = ap.parse_args(argv)
     study = Study(build_session(), args.base)
+    params = BoostParams(rounds=args.rounds, learning_rate=args.learning_rate, max_depth=args.max_depth)
     if args.step == "load":
         study.load(args.data)
     elif args.step == "reshape":
@@ -203,7 +236,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "folds":
         study.folds(args.write).show()
     elif args.step == "cv":
-        study.cv(args.model, args.fold, args.rebuild)
+        study.cv(args.model, args.fold, args.rebuild, params)
+    elif args.step == "last":
+        study.last(args.model, args.rebuild, params)
+    elif args.step == "labels":
+        study.labels(args.epoch)
     elif args.step == "evaluate":
         for name, df in study.evaluate().items():
             if name.startswith("compare") or name == "exclusions":

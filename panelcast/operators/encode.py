@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,11 +41,11 @@ def encode(df: DataFrame, dictionary: DataFrame, columns: list[str] | None = Non
     return out
 
 
-def fit_indexer(train: DataFrame, columns: list[str], suffix: str = "_idx") -> StringIndexerModel:
+def indexer(columns: list[str], suffix: str = "_idx") -> StringIndexer:
     """Model-side variant: unseen and missing categories share one extra index."""
     return StringIndexer(
         inputCols=columns,
         outputCols=[f"{c}{suffix}" for c in columns],
         handleInvalid="keep",
         stringOrderType="alphabetAsc",
-    ).fit(train)
+    )

@@ -396,7 +396,8 @@ def weighted_scaled_loss(
     """Weighted scaled pinball loss per model, fold and quantile.
 
     The fact shrinks to one row per model, fold, series and quantile before any join. A series
-    that never changed in training has no scale and is left out."""
+    that never changed in training has no scale and is left out; the weights of the series scored
+    are scaled to sum to 1."""
     fit = ["fold_id", *panel.keys]
     losses = (
         _stable(fact)
@@ -408,5 +409,9 @@ def weighted_scaled_loss(
         losses.join(scales, fit)
         .join(weights, fit)
         .groupBy("model", "fold_id", "quantile_name")
-        .agg(F.sum(F.col("weight") * scaled).alias("wspl"))
+        .agg(
+            F.try_divide(
+                F.sum(F.col("weight") * scaled), F.sum(F.when(scaled.isNotNull(), F.col("weight")))
+            ).alias("wspl")
+        )
     )

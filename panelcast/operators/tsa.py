@@ -22,14 +22,6 @@ def whole_series(panel: Panel = PANEL):
     return series_window(panel).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def trend_lines(df: DataFrame, origin: Date, panel: Panel = PANEL) -> DataFrame:
-    """Least-squares line of every series over the day index; one aggregate."""
-    x, y = _day_index(origin, panel), F.col(panel.value).cast("double")
-    return df.groupBy(*panel.keys).agg(
-        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept")
-    )
-
-
 def _day_index(origin: Date, panel: Panel):
     return F.datediff(panel.date, F.lit(origin)).cast("double")
 

@@ -17,7 +17,7 @@ from panelcast.operators.forecast.boost import (
 from panelcast.operators.forecast.decomposed import decomposed_predictions, fit_decomposed
 from panelcast.schema import PANEL, PREDICTIONS, Panel
 from panelcast.session import checkpoint
-from panelcast.sources.writers import conform, write_fold
+from panelcast.sources.writers import conform
 
 Forecaster = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -67,10 +67,3 @@ def boost_walk_forward(
         rows = predict_quantile_boost(model, mine.where(F.col("role") == "val"), panel)
         out = rows if out is None else out.unionByName(rows)
     return conform(out, PREDICTIONS)
-
-
-def store_folds(predictions: DataFrame, path: str, folds: DataFrame) -> dict[int, int]:
-    """Write each fold idempotently; returns rows per fold."""
-    ids = [r["fold_id"] for r in folds.select("fold_id").orderBy("fold_id").collect()]
-    kept = checkpoint(predictions, "predictions")
-    return {i: write_fold(kept, path, i, PREDICTIONS) for i in ids}

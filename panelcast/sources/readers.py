@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from datetime import date as Date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,21 +16,24 @@ log = logging.getLogger(__name__)
 
 
 def read_panel_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, schema: T.StructType | Callable[[str], T.DataType] | None = None
 ) -> DataFrame | None:
     """Header CSV without tolerance for bad rows; a missing file is reported and skipped.
 
-    Give a schema: inference reads the file a second time."""
+    Give a schema, or the type of a column by its name: inference reads the file a second time."""
     if not path_exists(spark, path):
         log.warning("file not found, skipped: %s", path)
         return None
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    if callable(schema):
+        names = reader.csv(path).columns  # the header line alone
+        schema = T.StructType([T.StructField(n, schema(n)) for n in names])
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
 
 def read_panel_csvs(
-    spark: SparkSession, files: dict[str, str], schemas: dict[str, T.StructType] | None = None
+    spark: SparkSession, files: dict[str, str], schemas: dict[str, T.StructType | Callable[[str], T.DataType]] | None = None
 ) -> dict[str, DataFrame]:
     """Load several named files, leaving out those that do not exist."""
     schemas = schemas or {}

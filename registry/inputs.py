@@ -156,6 +156,27 @@ class Inputs:
             .drop("item_id", "store_id")
         )
 
+    def sales_wide_days(self) -> DataFrame:
+        """One row per series, one column per day of the panel, as a written table. Zeros on days divisible
+        by 13 are NULL, and so is the tail of one region's series. A row is bounded by the calendar."""
+        n_days = (self.bounds[1] - self.bounds[0]).days + 1
+        d = F.col("date")
+        unknown = ((F.col("sales") == 0) & (F.dayofmonth(d) % 13 == 0)) | (
+            F.col("store_id").startswith("AS") & (d > F.date_sub(F.lit(self.bounds[1]), 28))
+        )
+        cells = F.array_sort(F.collect_list(F.struct("date", F.when(~unknown, F.col("sales")).alias("sales"))))
+        rows = self.sales_long().groupBy("item_id", "store_id").agg(cells.alias("cells"))
+        # written first: one sort for a row, not one for each of its columns
+        rows = checkpoint(
+            rows.select(
+                F.concat_ws("_", "item_id", "store_id", F.lit("validation")).alias("id"),
+                F.transform("cells", lambda c: c["sales"]).alias("cells"),
+            ),
+            "sales-cells",
+        )
+        wide = rows.select("id", *[F.col("cells")[i].alias(f"d_{i + 1}") for i in range(n_days)])
+        return checkpoint(wide, "sales-wide")
+
     def segments(self) -> DataFrame:
         if self._stored is not None:
             return self._stored["segments"]

@@ -282,7 +282,7 @@ def _(q):
                left join sell_prices p on p.item_id = s.item_id and p.store_id = s.store_id and p.wm_yr_wk = c.wm_yr_wk group by 1, 2, 3),
             w as (select *, rev / sum(rev) over (partition by fold_id) as weight from rev),
             l as (select model, fold_id, item_id, store_id, quantile_name, avg(pinball_loss) as loss from fact where {STABLE} group by 1, 2, 3, 4, 5)
-        select model, fold_id, quantile_name, {R('sum(weight * loss / nullif(scale, 0))')} as wspl
+        select model, fold_id, quantile_name, {R('sum(weight * loss / nullif(scale, 0)) / nullif(sum(weight) filter (scale <> 0), 0)')} as wspl
         from l join sc using (fold_id, item_id, store_id) join w using (fold_id, item_id, store_id) group by 1, 2, 3""",
 )
 def _(q):

@@ -91,6 +91,19 @@ def _(q):
     return out.withColumn("tasa_ceros", rounded(F.col("tasa_ceros")))
 
 
+_days = "(partition by fold_id, item_id, store_id order by date)"
+
+
+def _mean(x: str) -> str:
+    return f"avg({x}) over (partition by fold_id, item_id, store_id)"
+
+
+def _kpss_sql(j: int) -> str:
+    """The statistic of a window of 365 days (364 steps), with four lags in its variance."""
+    products = " + ".join(f"{2 * (5 - k)} / cast(5 as double) * coalesce(sum(e{j} * e{j}_{k}), 0)" for k in range(1, 5))
+    return f"sum(w{j} * w{j}) / nullif(count(e{j}) * (sum(e{j} * e{j}) + {products}), 0) as k{j}"
+
+
 _group = "partition by fold_id, item_id, store_id"
 
 
@@ -159,7 +172,73 @@ def _(q):
     )
 
 
-BOOST = bo.BoostParams(rounds=6, learning_rate=0.3, max_depth=5, cut_every=6)
+#: Every series of a sample and fold has one verdict; a converged fit has its 28 days, a failed one none.
+_fit_contract_sql = """
+  select fold_id, count(*) as n_fits, cast(0 as bigint) as n_inconsistent, cast(0 as bigint) as n_wrong_days,
+         cast(0 as bigint) as n_bad_quantiles, true as some_converged
+  from (select distinct item_id, store_id from sales_long) cross join folds group by 1"""
+
+
+@query("arima_contract", _fit_contract_sql)
+def _(q):
+    """Metadata and forecasts of one fitting run against each other, over all series and folds."""
+    folds = q.folds()
+    train = fo.split_folds(q.sales_long(), folds, roles=("train",))
+    fits = checkpoint(ar.fit_arima(ar.training_arrays(train)), "arima-fits")
+    rising = F.forall(F.sequence(F.lit(1), F.lit(4)), lambda i: F.element_at("q", i) <= F.element_at("q", i + 1))
+    fine = rising & (F.element_at("q", 1) >= 0)
+    rows = (
+        ar.arima_predictions(fits, folds)
+        .withColumn("q", F.array(*QUANTILE_NAMES))
+        .join(folds.select("fold_id", "val_start", "val_end"), "fold_id")
+        .groupBy("fold_id", "item_id", "store_id")
+        .agg(
+            F.count_distinct(F.when(F.col("date").between(F.col("val_start"), F.col("val_end")), F.col("date"))).alias("days"),
+            F.count("*").alias("n"),
+            F.count_if(~F.coalesce(fine, F.lit(False))).alias("bad"),
+        )
+    )
+    verdicts = ar.arima_metadata(fits, q.segments())
+    reasons = F.col("razon_fallo").isNull() & F.col("aic").isNotNull() & F.col("p").isNotNull()
+    due = F.when(F.col("convergio"), 28).otherwise(0)
+    return (
+        verdicts.join(rows, ["fold_id", "item_id", "store_id"], "left")
+        .groupBy("fold_id")
+        .agg(
+            F.count("*").alias("n_fits"),
+            F.count_if(F.col("convergio") != reasons).alias("n_inconsistent"),
+            F.count_if((F.coalesce("days", F.lit(0)) != due) | (F.coalesce("n", F.lit(0)) != due)).alias("n_wrong_days"),
+            F.coalesce(F.sum("bad"), F.lit(0)).alias("n_bad_quantiles"),
+            F.bool_or("convergio").alias("some_converged"),
+        )
+    )
+
+
+@query(
+    "differencing_order",
+    f"""with e as (select *, {_mean('sales')} as m0, sales - lag(sales) over {_days} as step from train),
+            f as (select *, {_mean('step')} as m1 from e),
+            s as (select fold_id, item_id, store_id, date, sales - m0 as e0, step - m1 as e1 from f),
+            t as (select *, sum(e0) over {_days} as w0, sum(e1) over {_days} as w1,
+                         {", ".join(f"lag(e{j}, {k}) over {_days} as e{j}_{k}" for j in (0, 1) for k in range(1, 5))} from s),
+            k as (select fold_id, item_id, store_id, {", ".join(_kpss_sql(j) for j in (0, 1))} from t group by 1, 2, 3)
+        select fold_id, item_id, store_id, {R('k0', 6)} as kpss_level, {R('k1', 6)} as kpss_step,
+               case when k0 > 0.463 then case when k1 > 0.463 then 2 else 1 end else 0 end as d from k""",
+)
+def _(q):
+    train = fo.split_folds(q.sales_long(), q.folds(), roles=("train",))
+    y = F.col("y")
+    return ar.training_arrays(train).select(
+        "fold_id",
+        "item_id",
+        "store_id",
+        rounded(ar.kpss(y), 6).alias("kpss_level"),
+        rounded(ar.kpss(ar.steps(y)), 6).alias("kpss_step"),
+        ar.differencing_order(y).alias("d"),
+    )
+
+
+BOOST = bo.BoostParams(rounds=20, learning_rate=0.3, max_depth=7)
 
 
 @query("quantile_boost")
@@ -170,3 +249,33 @@ def _(q):
     rows = checkpoint(fo.split_folds(q.features(), fold), "fold-features")
     model = bo.fit_quantile_boost(rows.where("role = 'train'"), params=BOOST)
     return bo.predict_quantile_boost(model, rows.where("role = 'val'"))
+
+
+@query(
+    "quantile_boost_contract",
+    """select s.item_id, s.store_id, count(*) as n_rows, min(v.date) as first_day, max(v.date) as last_day,
+              cast(0 as bigint) as n_bad_quantiles
+       from (select distinct item_id, store_id from sales_long) s cross join (select date from val_days where fold_id = 5) v
+       group by 1, 2""",
+)
+def _(q):
+    """What must hold for the boosted forecasts of every series, whatever their values; two rounds
+    are enough to show it."""
+    fold = fo.single_fold(q.spark, q.bounds[1])
+    rows = checkpoint(fo.split_folds(q.features(), fold), "fold-features")
+    few = bo.BoostParams(rounds=2, learning_rate=0.5, max_depth=4)
+    model = bo.fit_quantile_boost(rows.where("role = 'train'"), params=few)
+    crossed = F.lit(False)
+    for low, high in zip(QUANTILE_NAMES, QUANTILE_NAMES[1:]):
+        crossed = crossed | (F.col(low) > F.col(high))
+    bad = crossed | (F.col(QUANTILE_NAMES[0]) < 0) | missing(F.col("p50"))
+    return (
+        bo.predict_quantile_boost(model, rows.where("role = 'val'"))
+        .groupBy("item_id", "store_id")
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.min("date").alias("first_day"),
+            F.max("date").alias("last_day"),
+            F.count_if(bad).alias("n_bad_quantiles"),
+        )
+    )

@@ -35,6 +35,17 @@ def _(q):
     return rs.wide_to_long(q.sales_wide(), F.col("month_start"), keep_id=True)
 
 
+@query(
+    "wide_to_long_days",
+    """select concat(item_id, '_', store_id, '_validation') as id, item_id, store_id, date, sales from sales_long
+       where not (sales = 0 and day(date) % 13 = 0)
+         and not (store_id like 'AS%' and date > (select max(date) - 28 from sales_long))""",
+)
+def _(q):
+    """A column for each day of the panel."""
+    return rs.wide_to_long(q.sales_wide_days(), q.bounds[0], keep_id=True)
+
+
 @query(
     "parse_series_id",
     """select id, array_to_string(string_split(id, '_')[1:3], '_') as item_id,

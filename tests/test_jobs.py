@@ -27,6 +27,8 @@ def _write_raw(folder):
         d = EPOCH + timedelta(days=i)
         event = "Christmas,National" if (d.month, d.day) == (12, 25) else ","
         cal.append(f"{d},{11101 + i // 7},{event},,{int(d.day < 11)},{int(d.day > 20)},0")
+    more = [",".join([lines[0], "d_461", "d_462"])] + [f"{line},{i},".replace("_validation", "_evaluation") for i, line in enumerate(lines[1:])]
+    (folder / "sales_train_evaluation.csv").write_text("\n".join(more) + "\n")
     (folder / "calendar.csv").write_text("\n".join(cal) + "\n")
     prices = ["store_id,item_id,wm_yr_wk,sell_price"]
     for item, store in keys:
@@ -39,9 +41,13 @@ def test_study_from_csv_to_comparison(spark, tmp_path):
     raw.mkdir()
     _write_raw(raw)
     study = Study(spark, str(tmp_path / "tables"))
-    assert study.load(str(raw)) == ["calendar", "sales_wide", "sell_prices"]
+    assert study.load(str(raw)) == ["calendar", "sales_wide", "sales_wide_evaluation", "sell_prices"]
+    assert dict(study.read("sales_wide").dtypes)["d_460"] == "bigint" and dict(study.read("calendar").dtypes)["date"] == "date"
     study.reshape(EPOCH)
     assert study.read("sales_long").count() == 12 * N_DAYS
+    study.labels(EPOCH)
+    labels = study.read("test_labels").collect()  # the second file's empty last day has no row
+    assert {(r["date"], r["sales"]) for r in labels} == {(EPOCH + timedelta(days=N_DAYS), i) for i in range(12)} and len(labels) == 12
     study.segments(per_stratum=1, sample_size=10)
     assert study.read("arima_sample").count() == study.read("series_segments").select("categoria_zero_rate").distinct().count()
     study.features(EPOCH)
@@ -58,6 +64,8 @@ def test_study_from_csv_to_comparison(spark, tmp_path):
         assert p.count() == sample * 28 * 2
         assert p.where(" or ".join(f"{a} > {b}" for a, b in zip(QUANTILE_NAMES, QUANTILE_NAMES[1:]))).count() == 0
     assert study.read("arima_metadata_cv").count() == 2 * study.read("arima_sample").count()
+    study.last("bqml")
+    assert study.read("bqml_predictions").count() == sample * 28 == 28 * study.read("bqml_metadata").count()
     tables = study.evaluate()
     total = tables["cv_pinball_loss"].where("not bqml_unstable_series").count()
     assert tables["cv_metrics_overall"].agg(F.sum("n_obs")).first()[0] == total
