@@ -201,6 +201,22 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
+def with_components(rows: DataFrame, points: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` (id, fp) with ``component``: the smallest id of all rows whose fp is linked to theirs, their own included.
+
+    ``points`` has each distinct fp with its smallest id (least) and number of rows (n); ``links`` are pairs (a, b) of fp.
+    """
+    n, total = points.count(), rows.count()
+    of = stored(components(links), "components")
+    members = points.join(of, points["fp"] == of["node"]).select("fp", "root", "least")
+    heads = members.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("members"))
+    met = stored(join_groups(members, heads, "root", "members", max(n, 1)).select(F.col("fp").alias("met"), "component"), "met")
+    points = points.join(met, points["fp"] == met["met"], "left").select(
+        "fp", "n", F.when(F.col("met").isNotNull(), F.col("component")).otherwise(F.col("least")).alias("component")
+    )
+    return join_groups(rows, stored(points, "ids"), "fp", "n", max(total, 1))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4
 ) -> DataFrame:
@@ -217,15 +233,7 @@ def near_duplicates(
     raw = col(text_col).cast("binary")
     rows = stored(bounded_batches(docs).select(col(id_col).alias("id"), _fingerprints(shingle)(raw).alias("fp")), "simhash")
     points = stored(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "points")
-    n, total = points.count(), rows.count()
-    of = stored(components(fingerprint_links(points.select("fp"), n, radius)), "components")
-    members = points.join(of, points["fp"] == of["node"]).select("fp", "root", "least")
-    heads = members.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("members"))
-    met = stored(join_groups(members, heads, "root", "members", max(n, 1)).select(F.col("fp").alias("met"), "component"), "met")
-    points = points.join(met, points["fp"] == met["met"], "left").select(
-        "fp", "n", F.when(F.col("met").isNotNull(), F.col("component")).otherwise(F.col("least")).alias("component")
-    )
-    out = join_groups(rows, stored(points, "ids"), "fp", "n", max(total, 1))
+    out = with_components(rows, points, fingerprint_links(points.select("fp"), points.count(), radius))
     return out.select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -240,7 +248,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     identity to be dropped by: they stay.
     """
     found = near_duplicates(docs.select(col(id_col), col(text_col)), id_col, text_col, shingle, radius)
-    found = stored(found.select(col(id_col).alias("id"), "component_id").where("id is not null"), "found")
+    return keep_least(docs, found.select(col(id_col).alias("id"), "component_id"), id_col)
+
+
+def keep_least(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with one row of each component in ``found`` (id, component_id): the one whose id names it; null ids stay."""
+    found = stored(found.where("id is not null"), "found")
     out = without(docs, found.where("id <> component_id").select("id"), id_col)
     again = stored(found.where("id = component_id").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "again")
     if again.isEmpty():
