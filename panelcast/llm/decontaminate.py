@@ -8,7 +8,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import BROADCAST_ROWS, bounded_batches, col, stored, without
@@ -23,6 +23,8 @@ UNITS = frozenset(
 NUMBER, NAME, UNIT = 1, 2, 3
 SLOT_NAMES = {NUMBER: "number", NAME: "name", UNIT: "unit"}
 LETTER, DIGIT = 1, 2
+#: Space, tab, hyphen and apostrophes: the words of one name may have these between them.
+JOINTS = np.array([0x20, 0x09, 0xA0, 0x2D, 0x27, 0x2019], dtype=np.uint32)
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 WINDOW = len(MULTIPLIERS)
 
@@ -57,13 +59,26 @@ def plain(text: str | None) -> str:
 def tokens(text: str, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes, starts and ends of a text's tokens: runs of letters, and numbers with their points and commas.
 
-    Slots have the codes NUMBER, UNIT (a unit word next after a number) and, if ``names``, NAME (a capitalised word that
-    neither begins a sentence or line nor stands beside another one wholly in capitals, being so itself); the code of
-    any other word is a hash of its lower-case letters.
+    Slots have the codes NUMBER, UNIT (a unit word next after a number) and, if ``names``, NAME (capitalised words next to
+    each other that neither begin a sentence or line nor stand beside another one wholly in capitals, being so themselves);
+    the code of any other word is a hash of its lower-case letters.
+    """
+    (codes, _), starts, ends, *_ = read = readings(text)
+    if not names or not len(codes):
+        return codes, starts, ends
+    codes, first = read[3]
+    return codes, starts[first], ends[np.concatenate((first[1:], [len(starts)])) - 1]
+
+
+def readings(text: str) -> tuple:
+    """((codes, first) of the words themselves, starts, ends, (codes, first) with names, (codes, first) with names also
+    where a capitalised word begins a sentence or line). ``first`` is the word with which a token begins;
+    names run over words with nothing but spaces, hyphens or apostrophes between them, but not into a new sentence.
     """
     none = np.zeros(0, dtype=np.int64)
+    empty = (none.astype(np.uint64), none)
     if not text:
-        return none.astype(np.uint64), none, none
+        return empty, none, none, empty, empty
     kinds, hashes, uppers, stops = _characters()
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     kind = kinds[points]
@@ -76,7 +91,7 @@ def tokens(text: str, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.nd
     real = kind[starts] > 0
     starts, ends = starts[real], ends[real]
     if not len(starts):
-        return none.astype(np.uint64), none, none
+        return empty, none, none, empty, empty
     lengths = ends - starts
     # the characters of all tokens, one behind the other, and each one's place in its token
     first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
@@ -88,17 +103,27 @@ def tokens(text: str, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.nd
     begins = np.ones(len(starts), dtype=bool)
     begins[1:] = ended[starts[1:]] > ended[starts[:-1]]
     number = kind[starts] == DIGIT
-    if names:
-        capitals = np.add.reduceat(uppers[points[kind > 0]].astype(np.int64), first) == lengths
-        beside = np.zeros(len(starts), dtype=bool)
-        beside[1:] = capitals[:-1]
-        beside[:-1] |= capitals[1:]
-        codes[uppers[points[starts]] & ~begins & ~(capitals & beside)] = NAME
+    capitals = np.add.reduceat(uppers[points[kind > 0]].astype(np.int64), first) == lengths
+    beside = np.zeros(len(starts), dtype=bool)
+    beside[1:] = capitals[:-1]
+    beside[:-1] |= capitals[1:]
+    named = uppers[points[starts]] & ~(capitals & beside) & ~number
     codes[number] = NUMBER
     after = np.flatnonzero(number[:-1] & ~number[1:]) + 1
     units = [i for i in after.tolist() if lengths[i] <= 10 and text[starts[i] : ends[i]].lower() in UNITS]
     codes[units] = UNIT
-    return codes, starts, ends
+    named[units] = False
+    parted = np.concatenate(([0], np.cumsum((kind == 0) & ~np.isin(points, JOINTS))))
+    apart = begins.copy()
+    apart[1:] |= parted[starts[1:]] > parted[ends[:-1]]
+
+    def read(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        on = np.zeros(len(names), dtype=bool)
+        on[1:] = names[1:] & names[:-1] & ~apart[1:]
+        at = np.flatnonzero(~on)
+        return np.where(names, np.uint64(NAME), codes)[at], at
+
+    return (codes, np.arange(len(codes))), starts, ends, read(named & ~begins), read(named)
 
 
 def window_hashes(codes: np.ndarray) -> np.ndarray:
@@ -121,45 +146,62 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _slots(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: str, at: int) -> list[str]:
-    """``type:value`` of the slots of the window at token ``at``."""
-    found = [i for i in range(at, min(at + WINDOW, len(codes))) if codes[i] <= UNIT]
-    return [f"{SLOT_NAMES[int(codes[i])]}:{text[starts[i] : ends[i]].lower()}" for i in found]
+def _spans(codes: np.ndarray, first: np.ndarray, words: int, at: int) -> list[tuple[int, int]]:
+    """First word and number of words of the slots of the window at token ``at``."""
+    last = min(at + WINDOW, len(codes))
+    return [(int(first[i]), int((first[i + 1] if i + 1 < len(first) else words) - first[i])) for i in range(at, last) if codes[i] <= UNIT]
 
 
-def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, at, hash, slots, windows, template) for every window of every item; rows without id or token have none.
+def _words(text: str, starts: np.ndarray, ends: np.ndarray, at: int = 0, n: int | None = None) -> list[str]:
+    """``n`` words from word ``at`` on, or all."""
+    n = len(starts) if n is None else n
+    return [text[a:b].lower() for a, b in zip(starts[at : at + n].tolist(), ends[at : at + n].tolist())]
 
-    The first word of an item may stand inside a sentence of a document. If it is capitalised, the first window
-    comes a second time with a name in its place. A document wholly in capitals or in lower case shows no
-    names: windows with names come a second time with the words themselves.
+
+def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(item, template, shape, words) of every item, and (shape, at, to, line, hash, slots, windows) of every window;
+    rows without id or token have none.
+
+    Items have one template if they read alike with names as slots, and one shape if moreover their names have as many words.
+    Windows come from three readings: with names, with names where a sentence or line begins too (any of
+    its words may stand inside a sentence of a document), and, for documents wholly in capitals or lower case, without. Each
+    counts for the words that its first token has (``at`` up to ``to``), and the last one for those left. ``windows`` is the number
+    of words that windows of words begin with; ``line`` counts tokens of the reading with most names.
+    ``slots`` are first word, number of words, and whether only the second reading has the slot.
     """
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
             for item, text in zip(part["item"], map(plain, part["text"])):
-                codes, starts, ends = tokens(text)
-                hashes = window_hashes(codes).view(np.int64).tolist()
-                template = xxhash.xxh64_intdigest(codes.tobytes()) - (1 << 63)
-                rows += [(item, i, h, _slots(codes, starts, ends, text, i), len(hashes), template) for i, h in enumerate(hashes)]
-                words = tokens(text, names=False)[0]
-                spelt = window_hashes(words).view(np.int64).tolist()
-                rows += [
-                    (item, i, h, _slots(words, starts, ends, text, i), len(hashes), template)
-                    for i, h in enumerate(spelt)
-                    if h != hashes[i]
-                ]
-                if hashes and text[starts[0]].isupper() and codes[0] > UNIT:
-                    codes[0] = NAME
-                    other = int(window_hashes(codes[:WINDOW]).view(np.int64)[0])
-                    rows.append((item, 0, other, _slots(codes, starts, ends, text, 0), len(hashes), template))
-            yield pd.DataFrame(rows, columns=["item", "at", "hash", "slots", "windows", "template"])
+                spelt, starts, ends, inner, every = readings(text)
+                n = len(starts)
+                if not n:
+                    continue
+                windows = max(1, n - WINDOW + 1)
+                template = xxhash.xxh64_intdigest(inner[0].tobytes()) - (1 << 63)
+                shape = xxhash.xxh64_intdigest(b"".join(x.tobytes() for x in (*inner, *every))) - (1 << 63)
+                line = np.searchsorted(every[1], np.arange(n), side="right") - 1
+                known, seen = set(zip(inner[1][inner[0] <= UNIT].tolist(), inner[0][inner[0] <= UNIT].tolist())), {}
+                for codes, first in (inner, every, spelt):
+                    hashes = window_hashes(codes).view(np.int64).tolist()
+                    for i, h in enumerate(hashes):
+                        at = int(first[i])
+                        to = windows if i + 1 == len(hashes) else min(windows, int(first[i + 1]))
+                        kinds = [int(c) for c in codes[i : i + WINDOW] if c <= UNIT]
+                        slots = [(p, k, (p, c) not in known) for (p, k), c in zip(_spans(codes, first, n, i), kinds)]
+                        seen.setdefault((at, h), (at, max(to, at + 1), int(line[at]), h, slots))
+                rows.append((item, template, shape, _words(text, starts, ends), windows, list(seen.values())))
+            yield pd.DataFrame(rows, columns=["item", "template", "shape", "words", "windows", "found"])
 
     rows = bounded_batches(benchmark).select(col(id_col).cast("long").alias("item"), col(text_col).alias("text"))
-    return rows.where("item is not null and text is not null").mapInPandas(
-        of, "item long, at int, hash long, slots array<string>, windows int, template long"
+    slot = "struct<at:int,n:int,initial:boolean>"
+    found = f"array<struct<at:int,to:int,line:int,hash:long,slots:array<{slot}>>>"
+    rows = rows.where("item is not null and text is not null").mapInPandas(
+        of, f"item long, template long, shape long, words array<string>, windows int, found {found}"
     )
+    rows = stored(rows, "benchmark")
+    return rows.select("item", "template", "shape", "words"), rows.select("shape", "windows", F.explode("found").alias("w")).select("shape", "windows", "w.*").distinct()
 
 
 def _filter(windows: DataFrame, total: int, max_filter_bytes: int) -> np.ndarray:
@@ -200,10 +242,10 @@ def find_contamination(
     meet the items' windows in an equi-join on the hash, broadcast while the items' windows number at most
     BROADCAST_ROWS.
     """
-    all_windows = stored(benchmark_windows(benchmark, item_col, item_text_col), "benchmark")
-    classes = all_windows.groupBy("template").agg(F.min("item").alias("item"), F.countDistinct("item").alias("items"))
-    windows = all_windows.join(classes, ["template", "item"]).select("item", "items", "windows", "at", "hash", F.col("slots").alias("theirs")).distinct()
-    windows = stored(windows, "templates")
+    items, windows = benchmark_windows(benchmark, item_col, item_text_col)
+    classes = items.groupBy("template").agg(F.min("item").alias("item"), F.countDistinct("item").alias("items"))
+    variants = stored(items.select("template", "shape", "words").distinct().join(classes, "template").drop("template"), "variants")
+    windows = stored(windows.withColumnRenamed("line", "theirs_line"), "templates")
     total = windows.count()
     bitmap = docs.sparkSession.sparkContext.broadcast(_filter(windows, total, max_filter_bytes))
 
@@ -213,52 +255,80 @@ def find_contamination(
         for part in parts:
             rows = []
             for doc, text in zip(part["id"], map(plain, part["text"])):
-                codes, starts, ends = tokens(text)
-                hashes = window_hashes(codes)
-                bit = hashes & mask
-                hit = np.flatnonzero((seen[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
-                rows += [(doc, int(i), int(hashes[i].view(np.int64)), _slots(codes, starts, ends, text, i)) for i in hit]
-            yield pd.DataFrame(rows, columns=["id", "start", "hash", "ours"])
+                spelt, starts, ends, inner, every = readings(text)
+                n = len(starts)
+                for codes, first in (inner, every) if n else ():
+                    hashes = window_hashes(codes)
+                    at = first[: len(hashes)]
+                    if codes is every[0]:  # only what reads otherwise than before
+                        other = before[at] != hashes
+                        hashes, at, place = hashes[other], at[other], np.flatnonzero(other)
+                    else:
+                        before = np.zeros(n, dtype=np.uint64)
+                        before[at] = hashes
+                        place = np.arange(len(hashes))
+                    bit = hashes & mask
+                    hit = np.flatnonzero((seen[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1)
+                    line = np.searchsorted(every[1], at[hit], side="right") - 1
+                    for i, at_line in zip(hit.tolist(), line.tolist()):
+                        ours = [" ".join(_words(text, starts, ends, *span)) for span in _spans(codes, first, n, int(place[i]))]
+                        rows.append((doc, int(at[i]), at_line, int(hashes[i].view(np.int64)), ours))
+            yield pd.DataFrame(rows, columns=["id", "start", "line", "hash", "ours"])
 
     texts = bounded_batches(docs).select(col(id_col).cast("long").alias("id"), col(text_col).alias("text")).where("id is not null and text is not null")
-    found = texts.mapInPandas(candidates, "id long, start int, hash long, ours array<string>")
+    found = texts.mapInPandas(candidates, "id long, start int, line int, hash long, ours array<string>")
     side = F.broadcast(windows) if total <= BROADCAST_ROWS else windows
-    met = found.join(side, "hash").select("id", "item", "items", "windows", "at", "start", F.arrays_zip("theirs", "ours").alias("slots"))
-    shift = met.groupBy("id", "item", (F.col("start") - F.col("at")).alias("shift")).agg(
-        F.first("items").alias("items"),
+    met = found.join(side, "hash").select(
+        "id", "shape", "windows", "at", "to", (F.col("line") - F.col("theirs_line")).alias("shift"), "start", F.arrays_zip("slots", "ours").alias("slots")
+    )
+    alignment = met.groupBy("id", "shape", "shift").agg(
         F.first("windows").alias("windows"),
-        F.collect_set("at").alias("ats"),
-        F.flatten(F.collect_set("slots")).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("to") - 1)))).alias("ats"),
+        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
         F.min("start").alias("start"),
     )
-    best = F.max_by(F.struct("slots", "start"), F.struct(F.size("ats"), -F.col("shift")))
-    pairs = shift.groupBy("id", "item").agg(
-        F.first("items").alias("items"),
+    pairs = alignment.groupBy("id", "shape").agg(
         F.first("windows").alias("windows"),
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("matched"),
-        best.alias("best"),
+        F.max(F.size("ats")).alias("most"),
+        F.collect_list(F.struct(F.size("ats").alias("own"), "slots", "start")).alias("alignments"),
     )
     pairs = pairs.withColumn("containment", F.col("matched") / F.col("windows")).where(F.col("containment") >= threshold)
-    slots = F.array_distinct("best.slots")
-    values = F.array_distinct(F.transform(slots, lambda s: s["theirs"]))
-    steady = F.filter(values, lambda v: F.size(F.filter(slots, lambda s: s["theirs"] == v)) == 1)
-    consistency = F.when(F.size(values) == 0, F.lit(1.0)).otherwise(F.size(steady) / F.size(values))
-    same = F.forall(slots, lambda s: s["theirs"] == s["ours"])
-    return (
-        pairs.withColumn("consistency", consistency)
-        .where(F.col("consistency") >= threshold)
-        .select(
-            F.col("id").alias(id_col),
-            F.col("item").alias("item_id"),
-            "items",
-            "windows",
-            "matched",
-            "containment",
-            F.col("best.start").alias("start"),
-            F.size(values).alias("slots"),
-            "consistency",
-            F.when(same, "exact").otherwise("reworded").alias("kind"),
+    full = F.filter("alignments", lambda a: (a["own"] == F.col("most")) | (a["own"] >= threshold * F.col("windows")))
+    pairs = pairs.withColumn("found", F.explode(full)).drop("alignments")
+    def read(s: Column) -> Column:
+        theirs = F.array_join(F.slice("words", s["slots"]["at"] + 1, s["slots"]["n"]), " ")
+        return F.struct(
+            (s["slots"]["at"] + s["slots"]["n"]).alias("end"), (theirs != s["ours"]).alias("other"), (-s["slots"]["n"]).alias("n"),
+            (-F.length(s["ours"])).alias("length"), theirs.alias("theirs"), s["ours"].alias("ours"), s["slots"]["initial"].alias("initial"),
         )
+
+    # readings may cut a name at a sentence's first word: of one slot the reading that is the item's own counts, else the longest
+    judged = pairs.join(variants, "shape").withColumn("read", F.transform("found.slots", read))
+    ends = F.array_distinct(F.transform("read", lambda s: s["end"]))
+    judged = judged.withColumn("pairs", F.transform(ends, lambda end: F.array_min(F.filter("read", lambda s: s["end"] == end))))
+    # a word that begins a sentence and stays is no evidence that slots agree
+    values = F.array_distinct(F.transform(F.filter("pairs", lambda s: ~s["initial"] | (s["theirs"] != s["ours"])), lambda s: s["theirs"]))
+    judged = judged.withColumn("values", values)
+    steady = F.filter(
+        "values", lambda v: F.size(F.array_distinct(F.transform(F.filter("pairs", lambda s: s["theirs"] == v), lambda s: s["ours"]))) == 1
+    )
+    consistency = F.when(F.size("values") == 0, F.lit(1.0)).otherwise(F.size(steady) / F.size("values"))
+    judged = judged.withColumn("consistency", consistency).withColumn("same", F.forall("pairs", lambda s: s["theirs"] == s["ours"]))
+    rank = F.struct("same", "consistency", "containment", F.col("found.own"), -F.col("found.start"))
+    row = F.struct("items", "windows", "matched", "containment", F.col("found.start").alias("start"), F.size("values").alias("slots"), "consistency", "same")
+    best = judged.where(F.col("consistency") >= threshold).groupBy("id", "item").agg(F.max_by(row, rank).alias("best"))
+    return best.select(
+        F.col("id").alias(id_col),
+        F.col("item").alias("item_id"),
+        "best.items",
+        "best.windows",
+        "best.matched",
+        "best.containment",
+        "best.start",
+        "best.slots",
+        "best.consistency",
+        F.when(F.col("best.same"), "exact").otherwise("reworded").alias("kind"),
     )
 
 
