@@ -7,9 +7,8 @@ benchmark item go; sources are mixed to their weights, as whole copies; copies a
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, mixing, near_copies, sharding, toxicity
+from panelcast.llm import decontaminate, mixing, sharding, simhash, toxicity
 from panelcast.llm.common import stored
 
 SHARDS = 24
@@ -21,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard 0.8 or more), the one with the smallest id."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each component of fingerprints (four-word shingles) that link at 4 or fewer bits: the smallest id."""
+    return simhash.drop_near_duplicates(docs, shingle=4, radius=4)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
