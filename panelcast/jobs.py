@@ -34,7 +34,7 @@ from panelcast.operators.forecast import arima as ar
 from panelcast.operators.forecast import decomposed as de
 from panelcast.operators.forecast.boost import BoostParams
 from panelcast.operators.forecast.common import forecast_metadata
-from panelcast.operators.reshape import wide_to_long
+from panelcast.operators.reshape import held_back_days, wide_to_long
 from panelcast.plans.evaluation import evaluate_all, flags_only
 from panelcast.plans.features import build_features
 from panelcast.plans.walk_forward import boost_walk_forward
@@ -97,9 +97,8 @@ class Study:
 
     def labels(self, epoch: Date) -> None:
         """The days of the second wide file behind the last day of the first, in a table of their own."""
-        known = self.read("sales_long").agg(F.max("date").alias("_last"))
-        later = wide_to_long(self.read("sales_wide_evaluation"), epoch).join(F.broadcast(known), F.col("date") > F.col("_last"))
-        write_partitioned(later.drop("_last"), self.path("test_labels"))
+        known = self.read("sales_long").agg(F.max("date")).first()[0]
+        write_partitioned(held_back_days(self.read("sales_wide_evaluation"), epoch, known), self.path("test_labels"))
 
     def segments(self, per_stratum: int = 8, sample_size: int = 3000) -> None:
         """Segments, the balanced sample and the proportional sample that contains it."""
@@ -139,6 +138,7 @@ class Study:
             self.path("sales_long_lgbm_sample"),
             lambda: sg.sample_panel(self.read("sales_long"), self.read("lgbm_sample")),
             force=rebuild,
+            inputs=[self.path("sales_long"), self.path("lgbm_sample")],
         )
 
     def _store(self, rows: DataFrame, table: str, schema, ids: list[int]) -> None:
@@ -222,9 +222,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--rounds", type=int, default=BoostParams.rounds)
     ap.add_argument("--learning-rate", type=float, default=BoostParams.learning_rate)
     ap.add_argument("--max-depth", type=int, default=BoostParams.max_depth)
+    ap.add_argument("--max-leaves", type=int, default=BoostParams.max_leaves)
     args = ap.parse_args(argv)
     study = Study(build_session(), args.base)
-    params = BoostParams(rounds=args.rounds, learning_rate=args.learning_rate, max_depth=args.max_depth)
+    params = BoostParams(
+        rounds=args.rounds, learning_rate=args.learning_rate, max_depth=args.max_depth, max_leaves=args.max_leaves
+    )
     if args.step == "load":
         study.load(args.data)
     elif args.step == "reshape":

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.schema import CATEGORICAL_FEATURES, SENTINEL, SENTINEL_FEATURES
+from panelcast.session import checkpoint
 
 
 def fill_sentinel(df: DataFrame, columns=tuple(SENTINEL_FEATURES), value: int = SENTINEL) -> DataFrame:
@@ -17,8 +18,7 @@ def fill_sentinel(df: DataFrame, columns=tuple(SENTINEL_FEATURES), value: int =
 def category_dictionary(train: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(feature, category, code): codes 0.. in the order of the category text.
 
-    Rows are reduced to distinct values before any window sees them; a categorical feature has
-    as many rows here as it has categories."""
+    Rows are reduced to distinct values first; a feature may have any number of categories."""
     columns = columns or CATEGORICAL_FEATURES
     values = (
         train.select(*[F.col(c).cast("string").alias(c) for c in columns])
@@ -26,8 +26,21 @@ def category_dictionary(train: DataFrame, columns: list[str] | None = None) -> D
         .where(F.col("category").isNotNull())
         .distinct()
     )
-    w = Window.partitionBy("feature").orderBy("category")
-    return values.withColumn("code", F.dense_rank().over(w) - 1)
+    return numbered(values, "feature", "category", "code")
+
+
+def numbered(df: DataFrame, group: str, order: str, out: str) -> DataFrame:
+    """``df`` with ``out``: 0, 1, .. within ``group`` in the order of ``order`` (both without NULLs, pairs distinct).
+
+    Rows are range-partitioned by both and written; each part numbers its own rows, and the rows of the parts before are added
+    from one count for each part and group. No group has to fit into one task."""
+    ranged = checkpoint(df.repartitionByRange(group, order).withColumn("_part", F.spark_partition_id()), "numbered")
+    counts = ranged.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select(group, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    nth = F.row_number().over(Window.partitionBy(group, "_part").orderBy(order))
+    out_rows = ranged.withColumn("_nth", nth).join(firsts, [group, "_part"])
+    return out_rows.withColumn(out, (F.col("_first") + F.col("_nth") - 1).cast("int")).drop("_first", "_nth", "_part")
 
 
 def encode(df: DataFrame, dictionary: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -57,8 +57,10 @@ def pinball_fact(
     unstable_model: str = "bqml",
     threshold: float = UNSTABLE_THRESHOLD,
     panel: Panel = PANEL,
+    releases: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per model, fold, series, day and quantile with its loss and report dimensions.
+    """One row per model, fold, series, day and quantile with its loss and report dimensions; with ``releases``, also
+    the release_age_bucket.
 
     All joins happen on the wide prediction rows, a fifth of the fact's rows; the unpivot is the
     last step. The instability flag is a window on (series, fold, model) behind the segment join's
@@ -72,6 +74,9 @@ def pinball_fact(
         segments.select(*keys, "categoria_zero_rate"), keys, "left"
     )
     flagged = left_flag(joined, sample, keys, "in_arima_sample")
+    if releases is not None:
+        age = release_age_bucket(F.col(panel.date), F.col("release_date"))
+        flagged = flagged.join(releases.select(*keys, "release_date"), keys, "left").withColumn("release_age_bucket", age)
     fit = Window.partitionBy(*keys, "fold_id", "model")
     marked = flagged.withColumn(
         "bqml_unstable_series",
@@ -91,6 +96,7 @@ def pinball_fact(
         "in_arima_sample",
         "bqml_unstable_series",
         pinball(level, F.col("y_true"), F.col("y_pred")).alias("pinball_loss"),
+        *(["release_age_bucket"] if releases is not None else []),
     )
 
 
@@ -155,7 +161,10 @@ def release_age_bucket(day: Column, release: Column) -> Column:
     )
 
 
-def metrics_by_release_age(fact: DataFrame, releases: DataFrame, panel: Panel = PANEL) -> DataFrame:
+def metrics_by_release_age(fact: DataFrame, releases: DataFrame | None = None, panel: Panel = PANEL) -> DataFrame:
+    """A fact that was built with releases has the bucket already, joined to a fifth of its rows; another one is joined here."""
+    if "release_age_bucket" in fact.columns:
+        return roll_up(fact, "release_age_bucket")
     aged = fact.join(releases, list(panel.keys), "left").withColumn(
         "release_age_bucket", release_age_bucket(F.col(panel.date), F.col("release_date"))
     )
@@ -329,14 +338,17 @@ def aggregate_metrics(fact: DataFrame, segments: DataFrame, run_date: Date, pane
 
 
 def error_heatmap(
-    fact: DataFrame, segments: DataFrame, stores: list[str], quantile: str = "p50", panel: Panel = PANEL
+    fact: DataFrame, segments: DataFrame, stores: list[str] | None = None, quantile: str = "p50", panel: Panel = PANEL
 ) -> DataFrame:
-    """Mean loss by category (rows) and store (columns)."""
+    """Mean loss by category (rows) and store (columns): those given, or all that the segments have, in their order."""
+    store = panel.keys[1]
+    if stores is None:
+        stores = [r[0] for r in segments.select(store).distinct().orderBy(store).collect()]  # the columns of the result
     picked = fact.where(F.col("quantile_name") == quantile)
     return (
         _with_category(picked, segments, panel)
         .groupBy("category")
-        .pivot(panel.keys[1], stores)
+        .pivot(store, stores)
         .agg(_mean_loss())
     )
 

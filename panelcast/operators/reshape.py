@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import date as Date
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,6 +58,19 @@ def wide_to_long(
     return out if keep_id else out.drop("id")
 
 
+def held_back_days(
+    wide: DataFrame, epoch: Date, known: Date, id_col: str = "id", prefix: str = "d_"
+) -> DataFrame:
+    """The days of a wide file behind ``known``, in long form. Only their columns are read."""
+    days = day_columns(wide, prefix)
+    first = int(days[0][len(prefix) :]) if days else 0
+    later = [c for c in days if epoch + timedelta(days=int(c[len(prefix) :]) - first) > known]
+    if not later:
+        return wide_to_long(wide, epoch, id_col, prefix).where(F.lit(False))
+    start = epoch + timedelta(days=int(later[0][len(prefix) :]) - first)
+    return wide_to_long(wide.select(id_col, *later), start, id_col, prefix)
+
+
 def unpivot_quantiles(
     predictions: DataFrame, names: list[str] | None = None, value: str = "y_pred"
 ) -> DataFrame:

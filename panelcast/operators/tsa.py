@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from datetime import date as Date
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,31 +67,26 @@ def acf(
 
 
 def acf_curve(
-    df: DataFrame, max_lag: int = 800, panel: Panel = PANEL, value: str | None = None
+    df: DataFrame, max_lag: int = 800, panel: Panel = PANEL, value: str | None = None, block_days: int = 128
 ) -> DataFrame:
-    """The same estimator for every lag 0..max_lag, through one FFT per series.
+    """The same estimator for every lag 0..max_lag that the series has pairs for; NULL for a level series.
 
-    Each series becomes one array (at most one entry per calendar day); Spark spreads the
-    series over the tasks and Arrow hands them over in batches."""
+    Days are cut into blocks, and a block meets only those that begin within ``max_lag`` of its end: an equi-join on series and
+    block, whose pairs are summed by lag before they leave their task. One long series is thus spread
+    over as many tasks as it has blocks."""
+    keys = list(panel.keys)
     v = F.col(value or panel.value).cast("double")
-    arrays = df.groupBy(*panel.keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(panel.date).alias("d"), v.alias("v")))).alias("s")
-    )
-    values = arrays.select(*panel.keys, F.transform("s", lambda e: e["v"]).alias("x"))
-
-    @F.pandas_udf("array<double>")
-    def curve(xs: pd.Series) -> pd.Series:
-        out = []
-        for x in xs:
-            x = np.asarray(x, dtype=float)
-            c = x - x.mean()
-            size = 1 << int(2 * len(c) - 1).bit_length()
-            spectrum = np.abs(np.fft.rfft(c, size)) ** 2
-            r = np.fft.irfft(spectrum, size)[: min(max_lag, len(c) - 1) + 1]
-            out.append(r / r[0] if r[0] > 0 else np.full(len(r), np.nan))
-        return pd.Series(out)
-
-    return values.select(*panel.keys, F.posexplode(curve("x")).alias("lag", "acf"))
+    means = df.groupBy(*keys).agg(F.avg(v).alias("_m"))
+    day = F.datediff(panel.date, F.lit("1970-01-01").cast("date"))
+    centred = df.join(means, keys).select(*keys, day.alias("_t"), (v - F.col("_m")).alias("_c"))
+    block = F.floor(F.col("_t") / block_days)
+    reach = -(-max_lag // block_days)
+    early = centred.select(*keys, F.explode(F.sequence(block, block + reach)).alias("_block"), "_t", "_c")
+    late = centred.select(*keys, block.alias("_block"), F.col("_t").alias("_u"), F.col("_c").alias("_d"))
+    pairs = early.join(late, [*keys, "_block"]).where((F.col("_u") >= F.col("_t")) & (F.col("_u") <= F.col("_t") + max_lag))
+    sums = pairs.groupBy(*keys, (F.col("_u") - F.col("_t")).alias("lag")).agg(F.sum(F.col("_c") * F.col("_d")).alias("_s"))
+    squares = sums.where("lag = 0").select(*keys, F.col("_s").alias("_ss"))
+    return sums.join(squares, keys).select(*keys, "lag", F.try_divide("_s", "_ss").alias("acf"))
 
 
 def choose_window(

@@ -33,7 +33,7 @@ def evaluate_all(
 ) -> dict[str, DataFrame]:
     """Fact, roll-ups and the two-scope comparisons, keyed by table name."""
     fact = write_fact(
-        ev.pinball_fact(predictions, actuals, segments, sample, panel=panel),
+        ev.pinball_fact(predictions, actuals, segments, sample, panel=panel, releases=releases),
         join_path(base, "cv_pinball_loss"),
     )
     tables = {
@@ -41,7 +41,7 @@ def evaluate_all(
         "cv_metrics_by_category": ev.metrics_by_zero_rate(fact),
         "cv_metrics_overall": ev.metrics_overall(fact),
         "cv_metrics_by_product_category": ev.metrics_by_category(fact, segments, panel),
-        "cv_metrics_by_release_age": ev.metrics_by_release_age(fact, releases, panel),
+        "cv_metrics_by_release_age": ev.metrics_by_release_age(fact),
         "cv_metrics_by_event": ev.metrics_by_event(fact, calendar_flags, panel),
     }
     stored = {}
@@ -62,7 +62,7 @@ def evaluate_all(
         stored["cv_metrics_by_event"], "event_bucket", EVENT_LABELS
     )
     stored["exclusions"] = ev.exclusion_report(fact, panel)
-    stored["cv_pinball_loss"] = fact
+    stored["cv_pinball_loss"] = fact.drop("release_age_bucket")
     return stored
 
 

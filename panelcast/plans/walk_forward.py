@@ -57,13 +57,8 @@ def decomposed_forecaster(calendar: DataFrame, panel: Panel = PANEL) -> Forecast
 def boost_walk_forward(
     features: DataFrame, folds: DataFrame, params: BoostParams = BoostParams(), panel: Panel = PANEL
 ) -> DataFrame:
-    """The global model fold by fold: each fold is a fresh fit, itself distributed. The tagged
-    features are written once and every fold reads its own rows."""
+    """The global model: one fit of its own for each fold, all of them grown in the same passes. The tagged
+    features are written once and read by the fit and by the forecast."""
     tagged = checkpoint(split_folds(features, folds, panel), "fold-features")
-    out = None
-    for fold in [r["fold_id"] for r in folds.select("fold_id").orderBy("fold_id").collect()]:
-        mine = tagged.where(F.col("fold_id") == fold)
-        model = fit_quantile_boost(mine.where(F.col("role") == "train"), panel, params)
-        rows = predict_quantile_boost(model, mine.where(F.col("role") == "val"), panel)
-        out = rows if out is None else out.unionByName(rows)
-    return conform(out, PREDICTIONS)
+    model = fit_quantile_boost(tagged.where(F.col("role") == "train"), panel, params)
+    return conform(predict_quantile_boost(model, tagged.where(F.col("role") == "val"), panel), PREDICTIONS)

@@ -97,5 +97,43 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
+def path_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of change) of the data files below ``path``, sorted; none if it does not exist. Names that begin
+    with _ or . hold no data."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    out, listed = [], fs.listFiles(hpath, True)
+    while listed.hasNext():
+        status = listed.next()
+        name = status.getPath().toString()
+        if not name.rsplit("/", 1)[-1].startswith(("_", ".")):
+            out.append((name, int(status.getLen()), int(status.getModificationTime())))
+    return sorted(out)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def join_path(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if "://" in base else os.path.join(base, *parts)

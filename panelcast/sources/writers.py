@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
 from collections.abc import Callable
 
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.schema import PANEL, Panel
-from panelcast.session import delete_path, join_path, path_exists
+from panelcast.session import delete_path, join_path, path_exists, path_files, read_text, write_text
 from panelcast.sources.readers import month_of
 
 log = logging.getLogger(__name__)
@@ -104,11 +106,35 @@ def write_folds(
     return written
 
 
+def build_key(spark: SparkSession, inputs: list[str], params: dict) -> str:
+    """One hash for the files below ``inputs`` (their paths, sizes and times of change) and ``params``. A table that is
+    written anew has other files, so its key changes; a missing input counts as having none."""
+    digest = hashlib.sha256(json.dumps(params, sort_keys=True, default=str).encode())
+    for root in inputs:
+        digest.update(f"\n{root}".encode())
+        for name, size, changed in path_files(spark, root):
+            digest.update(f"\n{name} {size} {changed}".encode())
+    return digest.hexdigest()
+
+
 def materialise_once(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False,
+    inputs: list[str] | None = None, params: dict | None = None,
 ) -> DataFrame:
-    """Build a table the first time, reuse it afterwards; ``force`` rebuilds. Only a committed
-    table (``_SUCCESS``) counts as present."""
-    if force or not path_exists(spark, join_path(path, "_SUCCESS")):
+    """Build a table the first time, reuse it while it is current; ``force`` rebuilds.
+
+    Only a committed table (``_SUCCESS``) counts as present. With ``inputs`` (paths of the tables it is made of) or ``params``,
+    a manifest beside its files holds the key it was built for: other input files or parameters, or no
+    manifest, have it rebuilt. The manifest is removed before and written after the table, so a build that fails leaves none."""
+    key = build_key(spark, inputs or [], params or {}) if inputs is not None or params is not None else None
+    manifest = join_path(path, "_manifest.json")
+    current = path_exists(spark, join_path(path, "_SUCCESS"))
+    if current and key is not None:
+        current = path_exists(spark, manifest) and json.loads(read_text(spark, manifest)).get("key") == key
+    if force or not current:
+        if path_exists(spark, manifest):
+            delete_path(spark, manifest)
         build().write.mode("overwrite").parquet(path)
+        if key is not None:
+            write_text(spark, manifest, json.dumps({"key": key, "inputs": inputs or [], "params": params or {}}, default=str))
     return spark.read.parquet(path)

@@ -238,7 +238,8 @@ class Inputs:
             "item_id", "store_id", "fold_id", "categoria_zero_rate", self.converged().alias("convergio")
         )
 
-    def fact(self) -> DataFrame:
+    def fact(self, with_releases: bool = False) -> DataFrame:
         return ev.pinball_fact(
-            self.predictions(), self.sales_long(), self.segments(), self.arima_sample()
+            self.predictions(), self.sales_long(), self.segments(), self.arima_sample(),
+            releases=self.releases() if with_releases else None,
         )

@@ -8,10 +8,12 @@ from panelcast.functions.numeric import pinball, rounded
 from panelcast.operators import evaluate as ev
 from panelcast.operators import folds as fo
 from panelcast.operators.forecast.baseline import empirical_quantiles
-from panelcast.operators.reshape import wide_to_long
+from panelcast.operators.reshape import held_back_days, wide_to_long
+from panelcast.operators.scenario import DEPENDENCE, path_ranks, quantiles_of_sums
 from panelcast.plans.evaluation import flags_only
 from panelcast.plans.walk_forward import walk_forward
-from panelcast.schema import EVENT_LABELS, RELEASE_LABELS, ZERO_RATE_LABELS
+from panelcast.schema import EVENT_LABELS, QUANTILES, RELEASE_LABELS, ZERO_RATE_LABELS
+from panelcast.session import checkpoint
 from registry.core import query
 from registry.q_reshape import R, _days
 
@@ -33,17 +35,14 @@ def _rollup_sql(dim, source="fact"):
 @query(
     "pinball_loss",
     f"""select p.item_id, p.store_id, p.date, p.fold_id,
-          {R('greatest(0.05 * (s.sales - p.p05), (0.05 - 1) * (s.sales - p.p05))')} as loss_p05,
-          {R('greatest(0.5 * (s.sales - p.p50), (0.5 - 1) * (s.sales - p.p50))')} as loss_p50,
-          {R('greatest(0.95 * (s.sales - p.p95), (0.95 - 1) * (s.sales - p.p95))')} as loss_p95
+          {", ".join(f"{R(f'greatest({v} * (s.sales - p.{n}), ({v} - 1) * (s.sales - p.{n}))')} as loss_{n}" for n, v in QUANTILES.items())}
         from pred_empirical p join sales_long s using (item_id, store_id, date)""",
 )
 def _(q):
     lgbm = q.predictions()["lgbm"].join(q.sales_long(), ["item_id", "store_id", "date"])
     loss = lambda name, level: rounded(pinball(F.lit(level), F.col("sales"), F.col(name)))
     return lgbm.select(
-        "item_id", "store_id", "date", "fold_id", loss("p05", 0.05).alias("loss_p05"),
-        loss("p50", 0.5).alias("loss_p50"), loss("p95", 0.95).alias("loss_p95"),
+        "item_id", "store_id", "date", "fold_id", *[loss(n, v).alias(f"loss_{n}") for n, v in QUANTILES.items()]
     )
 
 
@@ -88,7 +87,7 @@ def _(q):
 
 @query("metrics_by_release_age", _rollup_sql("release_age_bucket", _by_age))
 def _(q):
-    return _loss(ev.metrics_by_release_age(q.fact(), q.releases()))
+    return _loss(ev.metrics_by_release_age(q.fact(with_releases=True)))
 
 
 @query("metrics_by_event", _rollup_sql("event_bucket", _by_event))
@@ -229,6 +228,61 @@ def _(q):
     return long.where(F.col("date") > F.date_sub(last, 28))
 
 
+@query(
+    "labels_of_second_file",
+    """select item_id, store_id, date, sales from sales_long
+       where date > (select max(date) - 28 from sales_long) and not (sales = 0 and day(date) % 13 = 0) and store_id not like 'AS%'""",
+)
+def _(q):
+    """The days of the wide file of the whole panel behind the training panel's last day."""
+    known = q.sales_long().where(F.col("date") <= F.date_sub(F.lit(q.bounds[1]), 28)).agg(F.max("date")).first()[0]
+    return held_back_days(q.sales_wide_days(), q.bounds[0], known)
+
+
+def _quantile_at_sql(rank: str) -> str:
+    names, cuts = list(QUANTILES), list(QUANTILES.values())
+    cases = [f"when {rank} <= cast({cuts[0]} as double) then {names[0]}"]
+    for (low, a), (high, b) in zip(zip(names, cuts), zip(names[1:], cuts[1:])):
+        cases.append(f"when {rank} <= cast({b} as double) then {low} + ({high} - {low}) * (({rank} - cast({a} as double)) / cast({b - a!r} as double))")
+    return f"case {' '.join(cases)} else {names[-1]} end"
+
+
+PATHS = 40
+
+
+@query(
+    "quantiles_of_sums",
+    f"""with paths as (select unnest(range({PATHS})) as path),
+            hist as (select t.fold_id, item_id, store_id, cast(datediff('day', t.date, f.train_end) as bigint) as path, t.sales, t.date
+                     from train t join folds f using (fold_id) where datediff('day', t.date, f.train_end) < {PATHS}),
+            ranks as (select fold_id, item_id, store_id, path, (row_number() over (partition by fold_id, item_id, store_id order by sales, date) - 0.5)
+                             / cast(count(*) over (partition by fold_id, item_id, store_id) as double) as u from hist),
+            drawn as (
+              select 'comonotone' as dependence, p.*, path, (path + 0.5) / cast({PATHS} as double) as u from pred_empirical p cross join paths
+              union all
+              select 'independent', p.*, path,
+                     (cast('0x' || substr(md5(concat_ws('_', item_id, store_id, cast(date as varchar), cast(path as varchar), 'path')), 1, 8) as bigint) + 0.5) / cast(4294967296 as double)
+              from pred_empirical p cross join paths
+              union all select 'history', p.*, path, u from pred_empirical p join ranks using (fold_id, item_id, store_id)),
+            sums as (select dependence, fold_id, d.date, s.category, d.store_id, path, sum({_quantile_at_sql('u')}) as total
+                     from drawn d join segments s on s.item_id = d.item_id and s.store_id = d.store_id group by 1, 2, 3, 4, 5, 6)
+        select dependence, fold_id, date, category, store_id, {", ".join(f"{R(f'quantile_cont(total, {v})', 5)} as {n}" for n, v in QUANTILES.items())}
+        from sums group by 1, 2, 3, 4, 5""",
+)
+def _(q):
+    """Quantiles of the daily sum of each category and store, under three kinds of dependence between its series."""
+    q.store_tables()
+    predictions = checkpoint(q.predictions()["lgbm"], "predictions")
+    train = fo.split_folds(q.sales_long(), q.folds(), roles=("train",))
+    ranks = path_ranks(train, PATHS)
+    parts = [
+        quantiles_of_sums(predictions, q.segments(), ["category", "store_id"], how, PATHS, ranks).withColumn("dependence", F.lit(how))
+        for how in DEPENDENCE
+    ]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.withColumns({n: rounded(F.col(n), 5) for n in QUANTILES})
+
+
 @query(
     "agg_predictions",
     "select p.date, s.category, p.store_id, "
@@ -257,8 +311,8 @@ def _(q):
     + f" from {_by_category} where {STABLE} and quantile_name = 'p50' group by 1",
 )
 def _(q):
-    out = ev.error_heatmap(q.fact(), q.segments(), HEAT_STORES)
-    return out.withColumns({s: rounded(F.col(s)) for s in HEAT_STORES})
+    out = ev.error_heatmap(q.fact(), q.segments())  # a column for each store there is
+    return out.withColumns({s: rounded(F.col(s)) for s in out.columns if s != "category"})
 
 
 @query(

@@ -265,6 +265,32 @@ def _(q):
     )
 
 
+#: Doubles are compared to four digits; the offset keeps values that end in 5 away from the edge of a step.
+_STEP = 0.3141592653
+
+
+def _cell_sql(c: str) -> str:
+    value = f"floor({c} * 10000 + {_STEP})" if c in _double else c
+    return f"coalesce(cast(cast({value} as bigint) as varchar), '~')"
+
+
+@query(
+    "feature_table",
+    f"""select item_id, store_id, date, sales, md5(concat_ws('|', coalesce(event_type, '~'), {", ".join(_cell_sql(c) for c in _exact + _double)})) as row_md5
+        from features""",
+)
+def _(q):
+    """All columns of all rows of the feature table: keys, target, and one hash of the other columns."""
+    def cell(c):
+        value = F.floor(F.col(c) * 10000 + _STEP) if c in _double else F.col(c).cast("long")
+        return F.coalesce(value.cast("string"), F.lit("~"))
+
+    rows = q.features()
+    assert set(rows.columns) == {*KEYS, "event_type", *_exact, *_double}, "a column is not compared"
+    text = F.concat_ws("|", F.coalesce("event_type", F.lit("~")), *[cell(c) for c in _exact + _double])
+    return rows.select(*KEYS, "sales", F.md5(text.cast("binary")).alias("row_md5"))
+
+
 @query(
     "fold_overlap",
     """select f.fold_id, f.val_start, f.val_end, n.val_start as next_val_start,

@@ -11,7 +11,7 @@ from panelcast.operators import profile as pf
 from panelcast.operators import reshape as rs
 from panelcast.operators.folds import split_folds
 from panelcast.operators.relational import half_open
-from panelcast.schema import ZERO_RATE_LABELS
+from panelcast.schema import CATEGORICAL_FEATURES, ZERO_RATE_LABELS
 from registry.core import query
 from registry.inputs import STATE_FLAGS, WIDE_DAYS
 
@@ -284,6 +284,24 @@ def _(q):
     )
 
 
+@query(
+    "encode_all_categoricals",
+    "with " + ", ".join(
+        f"""d_{c} as (select v, cast(dense_rank() over (order by v) - 1 as int) as code
+                      from (select distinct cast({c} as varchar) as v from features where {c} is not null))"""
+        for c in CATEGORICAL_FEATURES
+    )
+    + f" select {', '.join(f'f.{c}, d_{c}.code as {c}_code' for c in CATEGORICAL_FEATURES)}, count(*) as n_rows from features f "
+    + " ".join(f"left join d_{c} on d_{c}.v = cast(f.{c} as varchar)" for c in CATEGORICAL_FEATURES)
+    + " group by all",
+)
+def _(q):
+    """Codes of every categorical feature, and the rows of each combination."""
+    features = q.features().select(*CATEGORICAL_FEATURES)
+    coded = en.encode(features, en.category_dictionary(features))
+    return coded.groupBy(*CATEGORICAL_FEATURES, *[f"{c}_code" for c in CATEGORICAL_FEATURES]).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(
     "series_extract",
     "select item_id, store_id, date, sales from sales_long where item_id = 'STANDARD_0_001' and store_id = 'AM_1'",

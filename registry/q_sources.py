@@ -51,12 +51,20 @@ def _(q):
     return rows.withColumn("ship_day", F.col("l_shipdate").cast("date")).drop("l_shipdate")
 
 
+@query("write_partitioned", "select item_id, store_id, date, sales from sales_long")
+def _(q):
+    path = scratch_path(q.spark, "partitioned")
+    write_partitioned(q.sales_long(), path)
+    return read_table(q.spark, path)
+
+
 @query(
-    "write_partitioned",
+    "read_partitioned",
     """select item_id, store_id, date, sales from sales_long
        where date between date '1997-03-10' and date '1999-08-20'""",
 )
 def _(q):
+    """A range of days of a table in month directories."""
     path = scratch_path(q.spark, "partitioned")
     write_partitioned(q.sales_long(), path)
     return read_table(q.spark, path, None, date(1997, 3, 10), date(1999, 8, 20))
@@ -101,21 +109,33 @@ def _(q):
        join lgbm_sample using (item_id, store_id)""",
 )
 def _(q):
+    """Built for another sample first, then for this one, then reused."""
     path = scratch_path(q.spark, "source")
     q.store_tables()
     build = lambda: sample_panel(q.sales_long(), q.lgbm_sample())
-    materialise_once(q.spark, path, build)
-    return materialise_once(q.spark, path, build)
+    inputs = [q.path("lineitem"), q.path("supplier"), q.path("part")]
+    materialise_once(q.spark, path, lambda: sample_panel(q.sales_long(), q.arima_sample()), inputs=inputs, params={"sample": "arima"})
+    materialise_once(q.spark, path, build, inputs=inputs, params={"sample": "lgbm"})
+    return materialise_once(q.spark, path, lambda: q.sales_long().where("false"), inputs=inputs, params={"sample": "lgbm"})
+
+
+_SPARK_TYPE = """case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'VARCHAR' then 'string' when 'DOUBLE' then 'double'
+    when 'TIMESTAMP' then 'timestamp_ntz' when 'DATE' then 'date' when 'FLOAT[]' then 'array<float>' when 'BOOLEAN' then 'boolean' when 'FLOAT' then 'float'
+    else column_type end"""
 
 
 @query(
     "table_profile",
     " union all ".join(
-        f"select '{t}' as table_name, count(*) as n_rows, "
-        f"(select count(*) from (describe {t})) as n_columns from {t}"
+        f"select '{t}' as table_name, count(*) as n_rows, (select count(*) from (describe {t})) as n_columns, true as has_bytes, "
+        f"(select string_agg(column_name || ':' || {_SPARK_TYPE}, ',' order by column_name) from (describe {t})) as column_types from {t}"
         for t in TABLES
     ),
 )
 def _(q):
+    """Rows, columns and the name and type of each; SQL cannot see file sizes, so only that there are bytes is compared."""
     profile = table_profile(q.spark, {t: q.path(t) for t in TABLES})
-    return profile.select("table_name", "n_rows", "n_columns")
+    pairs = F.array_sort(F.transform(F.map_entries("column_types"), lambda e: F.concat_ws(":", e["key"], e["value"])))
+    return profile.select(
+        "table_name", "n_rows", "n_columns", (F.col("size_bytes") > 0).alias("has_bytes"), F.array_join(pairs, ",").alias("column_types")
+    )
