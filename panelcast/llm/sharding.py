@@ -36,8 +36,8 @@ def _cells(rows: DataFrame, cells: int) -> tuple[DataFrame, np.ndarray]:
     """``rows`` with ``bundle`` and ``piece``, and the totals of the table.
 
     Groups of equal texts are dealt into ``cells`` bundles by their hash, whole. A group with more than
-    1/cells of the bytes, tokens or rows makes a bundle of its own; for ranking, such a group is cut into
-    pieces of about that share. At most 3 x cells groups can be that large, so their list is broadcast.
+    1/cells of the bytes, tokens or rows makes a bundle of its own; for ranking, such a group is cut by its rows' numbers into
+    pieces of about that share, so that rows that share id and text are dealt out too. At most 3 x cells groups can be that large, so their list is broadcast.
     """
     bundles = stored(rows.groupBy("bundle").agg(*_sums()), "bundles")
     total = bundles.agg(*[F.sum(m).alias(m) for m in MEASURES]).first()
@@ -57,9 +57,9 @@ def _cells(rows: DataFrame, cells: int) -> tuple[DataFrame, np.ndarray]:
         .withColumn("owner", F.when(F.col("pieces").isNotNull(), F.col("group")).otherwise(F.lit(0)))
         .withColumn(
             "piece",
-            F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id", F.lit("piece")), F.col("pieces"))),
+            F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row", F.lit("piece")), F.col("pieces"))),
         )
-        .drop("pieces"),
+        .drop("pieces", "row"),
         totals,
     )
 
@@ -76,7 +76,7 @@ def assign_shards(
     Size is the text's UTF-8 bytes plus 8 (null: 8, with the crc32 of the empty text), tokens its runs of
     non-blank characters. Equal texts form a group; null and empty texts form one group. A group stays on
     one shard unless it has more bytes, tokens or rows than a shard's equal part; such a group is dealt
-    over several shards by its ids. Slots number each shard's rows from 0 without gaps, by bundle and id;
+    over several shards row by row, whether or not its rows share ids. Slots number each shard's rows from 0 without gaps, by bundle and id;
     repeated rows get slots of their own. An empty table gives an empty result. Other columns are not read.
 
     The driver packs bundles of groups, not groups: at most ``shards * bundles_per_shard`` bundles and
@@ -86,6 +86,7 @@ def assign_shards(
     text = col(text_col)
     raw = text.cast("binary")
     rows = bounded_batches(docs).select(
+        F.monotonically_increasing_id().alias("row"),
         col(id_col).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("long").alias("size"),
         word_count(raw).alias("tokens"),
