@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from panelcast.llm.common import bounded_batches, col, stored, unit, word_count
 
 
+#: How much the length balance gives way to unlike sources, see ``entropy_balance``.
+GIVE = 0.05
+
+
 def source_targets(sizes: Sequence[float], weights: Sequence[float], most: float) -> np.ndarray:
     """Shares of the sum of ``sizes`` by weight, none above ``most`` times its source's size.
 
@@ -46,6 +50,7 @@ def entropy_balance(
     most: float = 3.0,
     tolerance: float = 1e-9,
     iterations: int = 50,
+    give: float = 0.0,
 ) -> tuple[dict[int, float], dict[str, float]]:
     """Multipliers of the document rates ``bounded_rate(source's + sum of covariate x its)``, closest in
     relative entropy by token to taking every token once, that meet the constraints.
@@ -54,7 +59,9 @@ def entropy_balance(
     tokens (``targets``, by source number), and for each covariate the mean over the tokens taken. Each
     Newton step is one distributed aggregation of the dual's gradient and Hessian, a bounded
     number of sums for each source; a step that does not shorten the gradient is halved. Without
-    covariates the solution is one rate for each source.
+    covariates the solution is one rate for each source. With ``give`` above 0 covariates are balanced as far as a
+    penalty of give / 2 x the square of their multipliers, by token, lets them be: there is a solution
+    even where sources and covariates contradict one another. Sources are always met.
     """
     names, means = list(covariates or {}), np.array(list((covariates or {}).values()), dtype=float)
     sources = sorted(s for s, t in targets.items() if t > 0)
@@ -89,6 +96,8 @@ def entropy_balance(
             hess[i, k:] += v[2 + j : 2 + 2 * j]
             hess[k:, i] += v[2 + j : 2 + 2 * j]
             hess[k:, k:] += v[2 + 2 * j :].reshape(j, j)
+        grad[k:] += give * scale * mu
+        hess[k:, k:] += give * scale * np.eye(j)
         return grad, hess
 
     scale = goal.sum()
@@ -107,6 +116,11 @@ def entropy_balance(
     return {s: float(lam[i]) for s, i in at.items()}, dict(zip(names, map(float, mu)))
 
 
+def length(size):
+    """The covariate that the mix keeps: the binary logarithm of a document's words."""
+    return F.log2(F.greatest(size, F.lit(1)).cast("double"))
+
+
 def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more) -> DataFrame:
     text = col(text_col)
     return bounded_batches(docs).select(
@@ -125,13 +139,17 @@ class MixPlan:
     classes: DataFrame
     fixed: DataFrame | None
     most: int
+    pull: float
+    middle: float
 
     def apply(self, rows: DataFrame) -> DataFrame:
         """``rows`` (see ``_measured``) with source_no, source_size, target, rate, held and copies. Both tables
         are bounded by sources x size classes and broadcast: rows stay where they are."""
         known = F.col("source").eqNullSafe(F.col("source_")) & (F.col("size_class") == F.col("class_"))
         rows = rows.join(F.broadcast(self.classes), known).drop("source_", "class_")
-        rows = rows.withColumn("rate", F.when(F.col("size") == 0, F.lit(1.0)).otherwise(F.col("rate")))
+        tilted = bounded_rate(F.col("lam") + F.lit(self.pull) * (length(F.col("size")) - F.lit(self.middle)), float(self.most), F.exp)
+        rate = F.when(F.col("size") == 0, F.lit(1.0)).when(F.col("lam").isNull(), F.lit(float(self.most))).otherwise(tilted)
+        rows = rows.withColumn("rate", rate).drop("lam")
         rows = rows.withColumn("held", (unit(F.col("key")) < F.col("reserved")) & (F.col("size") > 0)).drop("reserved")
         up = unit(F.xxhash64("key", F.lit("round"))) < F.col("rate") - F.floor("rate")
         rows = rows.withColumn("copies", F.least((F.floor("rate") + up.cast("int")).cast("int"), F.lit(self.most)))
@@ -155,26 +173,28 @@ def plan_mix(rows: DataFrame, weights: Sequence[float], most: int, reserve: int)
     targets = source_targets(sizes, turn, most)
 
     numbers = spark.createDataFrame([(s, i) for s, i in number.items()], "source_ string, source_no int")
-    numbered = rows.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("source_"))).select("source_no", "size")
+    numbered = rows.where("size > 0").join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("source_")))
+    numbered = numbered.select("source_no", "size", length(F.col("size")).alias("length"))
     # a source that must give all it may has no room for an exponential rate
     inside = {i: float(t) for i, t in enumerate(targets) if 0 < t < most * sizes[i] * (1 - 1e-12)}
-    lam, _ = entropy_balance(numbered, inside, most=most)
-    rate = {i: float(bounded_rate(lam[i], float(most))) if i in lam else float(most) for i in range(len(names))}
+    mean = numbered.agg(F.try_divide(F.sum(F.col("size") * F.col("length")), F.sum("size"))).first()[0]
+    middle = float(mean or 0.0)
+    lam, pull = entropy_balance(numbered, inside, {"length": middle}, most, give=GIVE)
 
     side = [
-        (r["source"], r["size_class"], i, int(sizes[i]), float(targets[i]), rate[i], reserve / r["n"])
+        (r["source"], r["size_class"], i, int(sizes[i]), float(targets[i]), lam.get(i), reserve / r["n"])
         for r in classes
         for i in (number[r["source"]],)
     ]
-    fields = "source_ string, class_ int, source_no int, source_size long, target double, rate double, reserved double"
-    plan = MixPlan(spark.createDataFrame(side, fields), None, most)
+    fields = "source_ string, class_ int, source_no int, source_size long, target double, lam double, reserved double"
+    plan = MixPlan(spark.createDataFrame(side, fields), None, most, pull["length"], middle)
     first = plan.apply(rows).where("size > 0")
     owed = {i: float(t) for i, t in enumerate(targets)}
     for r in first.where("not held").groupBy("source_no").agg(F.sum(F.col("size") * F.col("copies"))).collect():
         owed[r[0]] -= r[1]
     copies = settle(first.where("held").select("source_no", "key", "size").collect(), owed, most)
     fixed = [(s, k, c) for (s, k), c in copies.items()]
-    return MixPlan(plan.classes, spark.createDataFrame(fixed, "source_no_ int, key_ long, copies_ int"), most)
+    return MixPlan(plan.classes, spark.createDataFrame(fixed, "source_no_ int, key_ long, copies_ int"), most, plan.pull, plan.middle)
 
 
 def mix(
@@ -190,7 +210,8 @@ def mix(
 
     Size is the number of words (runs of characters other than space and x09-x0D; null: 0). Sources in
     code point order, null last, get ``weights`` in turn; see ``source_targets``. Rates solve the
-    entropy balance and are rounded to copies by a hash of the id and text, at most ``most``.
+    entropy balance: every source's tokens, and over all of them the mean log length of a document by token, which mixing by
+    source alone would shift to the long or short documents of the favoured sources (as far as GIVE lets it). They are rounded to copies by a hash of the id and text, at most ``most``.
     Documents without words get one copy. Repeated rows (equal ids and texts) get equal copies; reruns
     agree. An empty table gives an empty result; other columns are not read.
 
