@@ -40,6 +40,24 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "option) any later version.",
     ),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.",
+    ),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -83,6 +101,27 @@ def template_table(templates: Sequence[tuple[str, str]]) -> list[tuple[str, list
     return out
 
 
+def anchors(table: Sequence[tuple[str, list[str]]], threshold: float) -> str:
+    """A pattern that occurs in the lower-case form of every part that can match a template.
+
+    A part at ``threshold`` shares at least threshold / (2 - threshold) of the template's bigrams. So many of them may be missing,
+    and one more may not: the longest ones, as the rarest, are taken.
+    """
+    found = set()
+    for _, pairs in table:
+        needed = ceil(threshold * len(pairs) / (2 - threshold) - 1e-9)
+        found.update(sorted(pairs, key=lambda p: (-len(p), p))[: len(pairs) - needed + 1])
+    by_first: dict[str, set[str]] = {}
+    for pair in found:
+        first, _, second = pair.partition(" ")
+        by_first.setdefault(first, set()).add(second)
+    options = []
+    for first, seconds in sorted(by_first.items()):
+        ends = "|".join(sorted(s for s in seconds if s))
+        options.append(first if "" in seconds else f"{first}[^a-z0-9]+(?:{ends})")
+    return f"(?<![a-z0-9])(?:{'|'.join(options)})(?![a-z0-9])"
+
+
 def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -92,29 +131,34 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_matches, licenses, best_license, best_dice, matches.
 
-    The parts of a text are its lines, its paragraphs (between blank lines) of several lines, and the
-    whole text if it has several paragraphs. A part matches a template if the Dice coefficient of
+    The parts of a text are its lines, the sentences of lines that have several, its paragraphs (between blank lines, or comment
+    lines without a word) of several lines, and the whole text if it has several paragraphs. Sentences count on through the text. A part matches a template if the Dice coefficient of
     their sets of word bigrams is ``threshold`` or more; of several templates the best counts, of equals the
     first licence by name. ``matches`` lists kind, number (from 0), licence and coefficient of each
     matching part; ``licenses`` the distinct names, sorted; ``best_*`` are null without a match.
     Null and empty texts and those without a word match nothing. Repeated rows stay. Other columns are not read.
 
-    Parts outside every template's size bounds are never compared. Templates are a fixed list in the plan.
-    Everything is a row-wise expression: no shuffle.
+    Texts without any of the templates' ``anchors`` cannot match and are not cut into parts. Parts outside every template's size
+    bounds are never compared. Templates are a fixed list in the plan. Everything is a row-wise expression: no shuffle.
     """
     table = [(n, b, *size_bounds(len(b), threshold)) for n, b in template_table(templates) if b]
     least, most = min(t[2] for t in table), max(t[3] for t in table)
     text = F.coalesce(col(text_col), F.lit(""))
-    paragraphs = F.split(text, r"\n[ \t\r]*\n")
+    paragraphs = F.split(text, r"\n[ \t\r*#/;-]*\n")
+    lines = F.split(text, "\n")
+    sentences = F.flatten(F.filter(F.transform(lines, lambda t: F.split(t, r"(?<=[.!?;:])[ \t]+")), lambda s: F.size(s) > 1))
 
     def parts(kind: str, texts: Column) -> Column:
         return F.transform(texts, lambda t, i: F.struct(F.lit(kind).alias("kind"), i.alias("number"), t.alias("text")))
 
     every = F.concat(
-        parts("line", F.split(text, "\n")),
+        parts("line", lines),
+        parts("sentence", sentences),
         F.filter(parts("paragraph", paragraphs), lambda p: F.instr(p["text"], "\n") > 0),
         F.filter(parts("text", F.array(text)), lambda _: F.size(paragraphs) > 1),
     )
+    may = F.rlike(F.lower(text), F.lit(anchors([t[:2] for t in table], threshold)))
+    every = F.when(may, every).otherwise(F.array().cast("array<struct<kind:string,number:int,text:string>>"))
     # characters bound the words, before any part is cut into words: w words need 2w - 1 characters
     sized = F.filter(every, lambda p: F.length(p["text"]) >= least)
     # one step a transform: what a lambda names twice is worked out twice
