@@ -20,7 +20,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Character classes of candidates, first that fits: name, pattern, alphabet, least entropy in bits of a window.
 CLASSES: tuple[tuple[str, str, str, float], ...] = (
-    ("digits", r"^[0-9]+$", "0123456789", 9.9),
+    ("digits", r"^[0-9]+$", "0123456789", 2.8),
     ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdefABCDEF", 3.0),
     ("lower", r"^(?:[a-z]+|[A-Z]+|[A-Z][a-z]+)$", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 4.0),
     ("alnum", r"^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 3.7),
@@ -32,11 +32,15 @@ ALLOW = (
     r"^(.)\1*$",
     r"^[-_=+/]+$",
     r"^/?(?:[a-z]++[-_/])++[a-z]*+$",
-    r"(?i)example|sample|placeholder|changeme|xxxx|test[-_]?key",
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^(?:0123456789|abcdefghijklm|ABCDEFGHIJKLM)",
 )
 
+#: Words that mark an example, by pattern and length: what they cover is no part of a candidate.
+ALLOW_WORDS: tuple[tuple[str, int], ...] = (
+    ("example", 7), ("sample", 6), ("placeholder", 11), ("changeme", 8), ("xxxx", 4), ("test[-_]key", 8), ("testkey", 7),
+)
+
 
 def spans_of(text: Column, pattern: str) -> Column:
     """Structs (start, end, match) of all leftmost matches, in code points.
@@ -108,6 +112,23 @@ def _nlog(n: int) -> float:
     return n * log2(n) if n else 0.0
 
 
+def masked(text: Column, spans: Column, words: Sequence[tuple[str, int]] = ALLOW_WORDS) -> Column:
+    """``text`` with blanks for the characters of ``spans`` (sorted by start; they may overlap) and of allow-listed words."""
+    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(s: Column, span: Column) -> Column:
+        gap = F.greatest(span["start"] - s["at"], F.lit(0))
+        end = F.greatest(span["end"], s["at"])
+        kept = F.substring(text, s["at"] + 1, gap)
+        return F.struct(end.alias("at"), F.concat(s["out"], kept, F.repeat(F.lit(" "), end - s["at"] - gap)).alias("out"))
+
+    cut = F.aggregate(spans, state, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    out = F.when(F.size(spans) > 0, cut).otherwise(text)
+    for word, n in words:
+        out = F.regexp_replace(out, f"(?i){word}", " " * n)
+    return out
+
+
 def scan_secrets(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -121,7 +142,8 @@ def scan_secrets(
     ``access`` and ``hex``, leftmost and non-overlapping for each kind, in whole texts (null: empty), ordered by start,
     then kind as listed here. Positions are code points, the end exclusive.
 
-    Added spans (``entropy``) come from candidate strings outside all base spans: a candidate belongs to the
+    Added spans (``entropy``) come from candidate strings in what base spans and allow-listed words leave of the text, so that a
+    second secret beside a known one is found: a candidate belongs to the
     first character class it fits; where windows of its characters reach the class's entropy, the span
     from the first to the last of them is added, unless the whole candidate is on the allow-list. Base spans
     are never suppressed. Repeated rows stay; other columns are not read. Everything is a row-wise
@@ -142,7 +164,7 @@ def scan_secrets(
         F.when(may_assign, spans_of(F.col("text"), ASSIGN)).otherwise(none).alias("assign"),
         F.when(F.contains("text", F.lit("AKIA")), spans_of(F.col("text"), ACCESS)).otherwise(none).alias("access"),
         F.when(F.rlike("text", F.lit(HEX)), spans_of(F.col("text"), HEX)).otherwise(none).alias("hex"),
-        F.when(F.rlike("text", F.lit(CANDIDATE)), spans_of(F.col("text"), CANDIDATE)).otherwise(none).alias("candidates"),
+        F.rlike("text", F.lit(CANDIDATE)).alias("may"),
     )
     rows = rows.withColumn(
         "assign", F.filter("assign", lambda s: F.length(F.regexp_extract(s["match"], ASSIGN, 2)) >= ASSIGN_LENGTH)
@@ -158,14 +180,9 @@ def scan_secrets(
         )
 
     rows = rows.withColumn("base", F.array_sort(F.concat(*[listed(k) for k in kinds])))
-    # candidates without a digit or a change of case inside cannot be told from words
-    rows = rows.withColumn(
-        "candidates",
-        F.filter(
-            "candidates",
-            lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])) & ~_allowed(c["match"], allow),
-        ),
-    )
+    rows = rows.withColumn("rest", F.when(F.col("may"), masked(F.col("text"), F.col("base"))))
+    rows = rows.withColumn("candidates", F.when(F.rlike("rest", F.lit(CANDIDATE)), spans_of(F.col("rest"), CANDIDATE)).otherwise(none))
+    rows = rows.withColumn("candidates", F.filter("candidates", lambda c: ~_allowed(c["match"], allow)))
     rows = rows.withColumn(
         "candidates", F.transform("candidates", lambda c: F.struct(c["start"].alias("start"), c["match"].alias("match"), F.split(c["match"], "").alias("chars")))
     )
