@@ -26,7 +26,8 @@ FREQUENT = 150
 def features(text: str | None) -> set[str]:
     """The distinct lower-case words of the whole text, their beginnings (marked by a hyphen) and the frequent
     beginnings (marked by two: one chance occurrence in a long text says less than several); null has none."""
-    words = Counter(WORD.findall(text.lower())) if text else Counter()
+    # one word at a time: a list of all words of a very long text is many times its size
+    words = Counter(m[0] for m in WORD.finditer(text.lower())) if text else Counter()
     found, total = set(words), words.total()
     for n in STEMS:
         stems: Counter[str] = Counter()
@@ -112,7 +113,8 @@ def train(
     prior = min(max(toxic / known, 1e-3), 0.9)
     draw = unit(F.xxhash64("id", F.lit("toxic")))
     chosen = marks.where((F.col("toxic") == 1) & (draw < max_positive / toxic)).select("id", F.lit(True).alias("positive"))
-    source = bounded_batches(docs).where(learn) if learn is not None else bounded_batches(docs)
+    docs = bounded_batches(docs, size="8m")
+    source = docs.where(learn) if learn is not None else docs
     rows = source.select(col(id_col).alias("id"), col(text_col).alias("text")).where("id is not null and text is not null")
     total = rows.count()
     rows = rows.join(F.broadcast(chosen), "id", "left").withColumn("unlabelled", unit(F.xxhash64("id", F.lit("any"))) < max_unlabelled / max(total, 1))
