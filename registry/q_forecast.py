@@ -367,8 +367,8 @@ def _(q):
     "boost_histogram",
     """with rows as (select f.fold_id, s.sales, dayofweek(s.date) + 1 as day_of_week, month(s.date) as month
                      from sales_long s join folds f on s.date between f.train_start and f.train_end),
-            levels(level, alpha) as (values ('p05', 0.05), ('p25', 0.25), ('p50', 0.5), ('p75', 0.75), ('p95', 0.95)),
-            starts as (select fold_id, level, quantile_disc(sales, alpha) as start from rows cross join levels group by fold_id, level, alpha),
+            starts as (select fold_id, unnest(['p05', 'p25', 'p50', 'p75', 'p95']) as level, unnest(quantile_disc(sales, [0.05, 0.25, 0.5, 0.75, 0.95])) as start
+                       from rows group by fold_id),
             cells as (select fold_id, 'day_of_week' as feature, day_of_week as category, sales from rows
                       union all select fold_id, 'month', month, sales from rows)
        select fold_id, level, feature, cast(category as varchar) as category, count(*) as n_rows, count(*) filter (sales < start) as n_below
