@@ -302,7 +302,7 @@ def _(q):
 
 
 #: Fewer rounds than the study's 1,000, at a higher rate; README has the time of a round.
-BOOST = bo.BoostParams(rounds=24, learning_rate=0.2)
+BOOST = bo.BoostParams(rounds=8, learning_rate=0.3)
 
 
 @query("quantile_boost")
@@ -344,7 +344,7 @@ def _(q):
 def _(q):
     """One pass over the stored ensemble against one pass for each of its rounds, added up, for all validation rows."""
     tagged = checkpoint(fo.split_folds(q.features(), q.folds()), "fold-features")
-    params = bo.BoostParams(rounds=4, learning_rate=0.3)
+    params = bo.BoostParams(rounds=3, learning_rate=0.3)
     model = bo.fit_quantile_boost(tagged.where("role = 'train'"), params=params)
     nodes = checkpoint(model.table(q.spark), "ensemble")
     rows = tagged.where("role = 'val'").withColumn("whole", bo.score_quantiles(model.with_table(nodes), tagged))
