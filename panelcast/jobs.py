@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.functions.keys import farm_key
 from panelcast.operators import evaluate as ev
 from panelcast.operators import folds as fo
 from panelcast.operators import segments as sg
@@ -105,10 +106,10 @@ class Study:
         write = lambda df, table: df.write.mode("overwrite").parquet(self.path(table))
         write(sg.zero_rate_segments(self.read("sales_long")), "series_segments")
         segments = self.read("series_segments")
-        write(sg.stratified_top_n(segments, per_stratum, "arima_sample_v1"), "arima_sample")
+        write(sg.stratified_top_n(segments, per_stratum, "arima_sample_v1", key=farm_key), "arima_sample")
         quotas = sg.proportional_quotas(segments, sample_size)
         write(
-            sg.proportional_sample(segments, self.read("arima_sample"), quotas, "lgbm_sample_v1"),
+            sg.proportional_sample(segments, self.read("arima_sample"), quotas, "lgbm_sample_v1", key=farm_key),
             "lgbm_sample",
         )
         write(sg.first_release(self.read("sell_prices"), self.read("calendar")), "series_release_dates")

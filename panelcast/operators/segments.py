@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,13 +41,20 @@ def first_release(
 
 
 def stratified_top_n(
-    series: DataFrame, n: int, salt: str, stratum: str = STRATUM, panel: Panel = PANEL
+    series: DataFrame,
+    n: int,
+    salt: str,
+    stratum: str = STRATUM,
+    panel: Panel = PANEL,
+    key: Callable[[list[Column], str], Column] = hash_key,
 ) -> DataFrame:
     """The n series of lowest hash per stratum: balanced and the same on every run.
 
+    ``key`` is ``hash_key`` or, for the samples that the Farm fingerprint draws, ``farm_key``.
+
     A rank filter with a literal limit is planned as a per-task top-n before the shuffle, so
     a stratum with most of the series ships n rows per task, not all of them."""
-    h = hash_key([F.col(k) for k in panel.keys], salt)
+    h = key([F.col(k) for k in panel.keys], salt)
     w = Window.partitionBy(stratum).orderBy("_h", *panel.keys)
     return (
         series.withColumn("_h", h)
@@ -97,6 +106,7 @@ def proportional_sample(
     salt: str,
     stratum: str = STRATUM,
     panel: Panel = PANEL,
+    key: Callable[[list[Column], str], Column] = hash_key,
 ) -> DataFrame:
     """All forced series, then each stratum filled up to its quota by hash rank.
 
@@ -109,7 +119,7 @@ def proportional_sample(
     room = quotas.join(taken, stratum, "left").select(
         stratum, (F.col("n_objetivo") - F.coalesce("_taken", F.lit(0))).alias("_room")
     )
-    ranked = rank_in_stratum(rest, stratum, hash_key([F.col(k) for k in keys], salt), keys)
+    ranked = rank_in_stratum(rest, stratum, key([F.col(k) for k in keys], salt), keys)
     filled = ranked.join(room, stratum).where(F.col("rn") <= F.col("_room"))
     return forced_rows.unionByName(filled.select(*forced_rows.columns))
 

@@ -2,14 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.functions.keys import hash_key
+from panelcast.functions.keys import farm_fingerprint, farm_key, hash_key
 from panelcast.functions.numeric import order_of, rounded, sorted_quantiles
 from panelcast.operators import evaluate as ev
 from panelcast.operators import profile as pf
 from panelcast.operators import relational as rl
 from panelcast.operators import segments as sg
 from panelcast.schema import QUANTILE_NAMES, ZERO_RATE_LABELS
+from panelcast.session import checkpoint
 from registry.core import query
+from registry.inputs import SAMPLE_TOTAL
 from registry.q_reshape import R
 
 
@@ -299,6 +301,36 @@ def _(q):
     return counts.withColumn("hash", hash_key([F.col("item_id"), F.col("store_id")], "arima_sample_v1"))
 
 
+@query("farm_fingerprint", "select text, fingerprint from farm_prints")
+def _(q):
+    """Fingerprints of the keys with and without salts, and of parts of them: all lengths' courses up to 64 bytes."""
+    item, store = F.col("item_id"), F.col("store_id")
+    key = F.concat_ws("_", item, store)
+    texts = F.array(
+        item, store, F.substring(store, 1, 2), F.substring(item, 1, 5), F.substring(store, 4, 1), F.lit(""), key, F.concat_ws("_", key, F.lit("arima_sample_v1")),
+        F.concat_ws("_", key, F.lit("lgbm_sample_v1")), F.concat_ws("_", key, key, F.lit("lgbm_sample_v1")),
+    )
+    rows = q.segments().select(F.explode(texts).alias("text")).distinct()
+    return rows.withColumn("fingerprint", farm_fingerprint(F.col("text")))
+
+
+@query(
+    "samples_by_fingerprint",
+    """select 'balanced' as sample, item_id, store_id, category, categoria_zero_rate from farm_balanced
+       union all select 'proportional', item_id, store_id, category, categoria_zero_rate from farm_proportional""",
+)
+def _(q):
+    """The balanced sample and the proportional one around it, drawn by the Farm fingerprint."""
+    q.store_tables()
+    segments = q.segments()
+    balanced = checkpoint(sg.stratified_top_n(segments, 8, "arima_sample_v1", key=farm_key), "balanced")
+    quotas = sg.proportional_quotas(segments, SAMPLE_TOTAL)
+    proportional = sg.proportional_sample(segments, balanced, quotas, "lgbm_sample_v1", key=farm_key)
+    columns = ["item_id", "store_id", "category", "categoria_zero_rate"]
+    rows = [df.select(F.lit(name).alias("sample"), *columns) for name, df in (("balanced", balanced), ("proportional", proportional))]
+    return rows[0].unionByName(rows[1])
+
+
 @query("stratified_top_n", "select item_id, store_id, category, categoria_zero_rate from arima_sample")
 def _(q):
     return q.arima_sample().select("item_id", "store_id", "category", "categoria_zero_rate")

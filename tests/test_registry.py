@@ -15,7 +15,7 @@ SAMPLE = [
     "parse_series_id", "gap_report", "filter_window", "null_predicates", "encode_categoricals",
     "scalar_subquery", "proportional_forced", "representative_series", "category_profile",
     "zero_rate_histogram", "choose_window", "fold_overlap", "build_features", "make_folds",
-    "forecast_metadata", "metrics_by_event", "wspl", "wide_to_long_days", "differencing_order", "check_leakage", "check_sample", "write_fold",
+    "forecast_metadata", "metrics_by_event", "wspl", "wide_to_long_days", "differencing_order", "check_leakage", "check_sample", "write_fold", "farm_fingerprint", "samples_by_fingerprint",
 ]
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 

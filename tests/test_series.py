@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.functions.keys import hash_key
+from panelcast.functions.keys import farm_fingerprint, farm_key, hash_key, signed, wrapping_add, wrapping_multiply
 from panelcast.operators import encode as en
 from panelcast.operators import folds as fo
 from panelcast.operators import relational as rl
@@ -152,3 +152,25 @@ def test_first_row_per_key(spark):
     df = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 2, "z")], "k string, o int, v string")
     got = {r["k"]: (r["o"], r["v"]) for r in rl.first_row_per_key(df, ["k"], "o").collect()}
     assert got == {"a": (1, "y"), "b": (2, "z")}
+
+
+def test_wrapping_arithmetic(spark):
+    edge = [0, 1, 3, (1 << 16) - 1, 1 << 16, (1 << 32) - 1, 1 << 32, (1 << 63) - 1, 1 << 63, (1 << 64) - 1, 0x9AE16A3B2F90404F]
+    rows = spark.createDataFrame([(signed(a), signed(b)) for a in edge for b in edge], "a long, b long")
+    a, b = F.col("a"), F.col("b")
+    for r in rows.select("a", "b", wrapping_add(a, b).alias("sum"), wrapping_multiply(a, b).alias("product")).collect():
+        assert r["sum"] == signed((r["a"] + r["b"]) % (1 << 64)) and r["product"] == signed(r["a"] * r["b"] % (1 << 64))
+
+
+def test_farm_fingerprint(spark):
+    """The published examples; NULL, empty and too long texts; an order that is that of the signed numbers."""
+    texts = ["1footrue", "2applefalse", "3true", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in rows.orderBy("i").select(farm_fingerprint(F.col("t"))).collect()]
+    assert got == [-1541654101129638711, 2794438866806483259, -4880158226897771312, signed(0x9AE16A3B2F90404F), None]
+    with pytest.raises(Exception, match="64 bytes"):
+        rows.select(farm_fingerprint(F.lit("é" * 33))).collect()
+    keyed = spark.range(200).select(
+        farm_fingerprint(F.concat_ws("_", F.col("id"), F.lit("s"))).alias("n"), farm_key([F.col("id")], "s").alias("h")
+    ).collect()
+    assert sorted(keyed, key=lambda r: r["n"]) == sorted(keyed, key=lambda r: r["h"]) and {len(r["h"]) for r in keyed} == {16}
