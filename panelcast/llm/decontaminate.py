@@ -20,6 +20,16 @@ UNITS = frozenset(
     "minute minutes h hr hour hours day days week weeks month months year years percent dollar dollars cent cents "
     "euro euros usd eur gbp mph kmh hz khz mhz ghz kb mb gb tb w kw v a k c f degree degrees".split()
 )
+#: English number words below ten, below twenty, tens, and multipliers.
+ONES, TEENS, TENS, SCALES = 1, 2, 3, 4
+NUMBER_WORDS = {
+    ONES: "zero one two three four five six seven eight nine".split(),
+    TEENS: "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split(),
+    TENS: "twenty thirty forty fifty sixty seventy eighty ninety".split(),
+    SCALES: "hundred thousand million billion trillion".split(),
+}
+#: Signs next to a number that stand for its unit.
+SIGNS = np.array([ord(c) for c in "$%£¥€"], dtype=np.uint32)
 NUMBER, NAME, UNIT = 1, 2, 3
 SLOT_NAMES = {NUMBER: "number", NAME: "name", UNIT: "unit"}
 LETTER, DIGIT = 1, 2
@@ -51,6 +61,38 @@ def _powers(size: int) -> np.ndarray:
     return np.multiply.accumulate(np.full(size, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
 
+@lru_cache(maxsize=1)
+def _number_words() -> tuple[dict[int, int], int, np.ndarray]:
+    """Class of each number word by code, the code of "and", and a table of the codes' bits that finds candidates."""
+    hashes = _characters()[1]
+
+    def code(word: str) -> int:
+        points = np.array([ord(c) for c in word])
+        return int(_mixed((hashes[points] * _powers(64)[: len(word)]).sum(dtype=np.uint64, keepdims=True))[0] | np.uint64(8))
+
+    classes = {code(word): kind for kind, words in NUMBER_WORDS.items() for word in words}
+    likely = np.zeros(1 << 12, dtype=bool)
+    likely[[c >> 52 for c in classes]] = True
+    return classes, code("and"), likely
+
+
+def _numbers_in_words(codes: np.ndarray, digits: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are number words, and which words go on with the number before them: ones after tens, a multiplier after
+    any number, ones to tens after a multiplier or its "and"."""
+    classes, link, likely = _number_words()
+    word, on = np.zeros(len(codes), dtype=bool), np.zeros(len(codes), dtype=bool)
+    found = {i: classes[c] for i in np.flatnonzero(likely[codes >> np.uint64(52)]).tolist() if (c := int(codes[i])) in classes}
+    word[list(found)] = True
+    for i, kind in found.items():
+        if i and not apart[i]:
+            before = found.get(i - 1, 0)
+            linked = kind != SCALES and i > 1 and not apart[i - 1] and int(codes[i - 1]) == link and found.get(i - 2) == SCALES
+            on[i] = linked or (kind == SCALES and (before or digits[i - 1])) or (kind == ONES and before == TENS) or (kind != SCALES and before == SCALES)
+            if linked:
+                word[i - 1] = on[i - 1] = True
+    return word, on
+
+
 def plain(text: str | None) -> str:
     """The text with the one common letter that capitals spell otherwise in their spelling."""
     return text.replace("ß", "ss").replace("ẞ", "SS") if text else ""
@@ -59,19 +101,21 @@ def plain(text: str | None) -> str:
 def tokens(text: str, names: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes, starts and ends of a text's tokens: runs of letters, and numbers with their points and commas.
 
-    Slots have the codes NUMBER, UNIT (a unit word next after a number) and, if ``names``, NAME (capitalised words next to
+    Slots have the codes NUMBER (digits, or English number words that make one number), UNIT (a unit word next after a number,
+    or a currency or percent sign beside one, which comes after the number wherever it is written) and, if ``names``, NAME (capitalised words next to
     each other that neither begin a sentence or line nor stand beside another one wholly in capitals, being so themselves);
     the code of any other word is a hash of its lower-case letters.
     """
-    (codes, _), starts, ends, *_ = read = readings(text)
-    if not names or not len(codes):
+    read = readings(text)
+    starts, ends = read[1:3]
+    codes, first = read[3 if names else 0]
+    if not len(codes):
         return codes, starts, ends
-    codes, first = read[3]
     return codes, starts[first], ends[np.concatenate((first[1:], [len(starts)])) - 1]
 
 
 def readings(text: str) -> tuple:
-    """((codes, first) of the words themselves, starts, ends, (codes, first) with names, (codes, first) with names also
+    """((codes, first) without names, starts, ends, (codes, first) with names, (codes, first) with names also
     where a capitalised word begins a sentence or line). ``first`` is the word with which a token begins;
     names run over words with nothing but spaces, hyphens or apostrophes between them, but not into a new sentence.
     """
@@ -107,23 +151,39 @@ def readings(text: str) -> tuple:
     beside = np.zeros(len(starts), dtype=bool)
     beside[1:] = capitals[:-1]
     beside[:-1] |= capitals[1:]
-    named = uppers[points[starts]] & ~(capitals & beside) & ~number
+    parted = np.concatenate(([0], np.cumsum((kind == 0) & ~np.isin(points, JOINTS))))
+    apart = begins.copy()
+    apart[1:] |= parted[starts[1:]] > parted[ends[:-1]]
+    word, on = _numbers_in_words(codes, number, apart)
+    named = uppers[points[starts]] & ~(capitals & beside) & ~number & ~word
+    digits, number = number, number | word
     codes[number] = NUMBER
     after = np.flatnonzero(number[:-1] & ~number[1:]) + 1
     units = [i for i in after.tolist() if lengths[i] <= 10 and text[starts[i] : ends[i]].lower() in UNITS]
     codes[units] = UNIT
     named[units] = False
-    parted = np.concatenate(([0], np.cumsum((kind == 0) & ~np.isin(points, JOINTS))))
-    apart = begins.copy()
-    apart[1:] |= parted[starts[1:]] > parted[ends[:-1]]
+    signs = np.flatnonzero(np.isin(points, SIGNS)) if digits.any() else ()
+    if len(signs):
+        # the word with each sign's number: the one that begins behind it, else the one that ends before it or a space
+        behind = np.searchsorted(starts, signs)
+        leads = (behind < len(starts)) & digits[np.minimum(behind, len(starts) - 1)] & (starts[np.minimum(behind, len(starts) - 1)] == signs + 1)
+        gap = signs - ends[behind - 1]
+        trails = (behind > 0) & digits[behind - 1] & ((gap == 0) | ((gap == 1) & (points[signs - 1] == 0x20))) & ~leads
+        at = np.where(leads, behind, behind - 1)[leads | trails] + 1
+        signs = signs[leads | trails]
+        order = np.argsort(at, kind="stable")
+        at, signs = at[order], signs[order]
+        starts, ends = np.insert(starts, at, signs), np.insert(ends, at, signs + 1)
+        codes = np.insert(codes, at, np.uint64(UNIT))
+        begins, named, apart, on = (np.insert(x, at, False) for x in (begins, named, apart, on))
 
     def read(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        on = np.zeros(len(names), dtype=bool)
-        on[1:] = names[1:] & names[:-1] & ~apart[1:]
-        at = np.flatnonzero(~on)
+        joined = on.copy()
+        joined[1:] |= names[1:] & names[:-1] & ~apart[1:]
+        at = np.flatnonzero(~joined)
         return np.where(names, np.uint64(NAME), codes)[at], at
 
-    return (codes, np.arange(len(codes))), starts, ends, read(named & ~begins), read(named)
+    return read(np.zeros(len(codes), dtype=bool)), starts, ends, read(named & ~begins), read(named)
 
 
 def window_hashes(codes: np.ndarray) -> np.ndarray:
