@@ -32,7 +32,7 @@ NUMBER_WORDS = {
 SIGNS = np.array([ord(c) for c in "$%£¥€"], dtype=np.uint32)
 NUMBER, NAME, UNIT = 1, 2, 3
 SLOT_NAMES = {NUMBER: "number", NAME: "name", UNIT: "unit"}
-LETTER, DIGIT = 1, 2
+LETTER, DIGIT, UPPER, STOP, PARTS, SIGN = 1, 2, 4, 8, 16, 32
 #: Space, tab, hyphen and apostrophes: the words of one name may have these between them.
 JOINTS = np.array([0x20, 0x09, 0xA0, 0x2D, 0x27, 0x2019], dtype=np.uint32)
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -40,20 +40,23 @@ WINDOW = len(MULTIPLIERS)
 
 
 @lru_cache(maxsize=1)
-def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """By code point: class (letter, digit or neither), a hash of the lower-case form, upper case, end of a sentence or line."""
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: flags (letter, digit, upper case, end of a sentence or line, parting words, sign) and a hash of the
+    lower-case form."""
     size = 0x110000
-    kind, upper, stop = np.zeros(size, dtype=np.uint8), np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+    flags = np.full(size, PARTS, dtype=np.uint8)
     lower = np.arange(size, dtype=np.uint64)
     for c in map(chr, range(size)):
         if c.isalnum():
             at = ord(c)
-            kind[at] = DIGIT if c.isdecimal() else LETTER
-            upper[at] = c.isupper()
-            if upper[at]:
+            flags[at] = DIGIT if c.isdecimal() else LETTER
+            if c.isupper():
+                flags[at] |= UPPER
                 lower[at] = ord(c.lower()[0])
-    stop[[ord(c) for c in ".!?:\n"]] = True
-    return kind, _mixed(lower + np.uint64(1)), upper, stop
+    flags[JOINTS] = 0
+    flags[[ord(c) for c in ".!?:\n"]] |= STOP
+    flags[SIGNS] |= SIGN
+    return flags, _mixed(lower + np.uint64(1))
 
 
 @lru_cache(maxsize=1)
@@ -123,13 +126,14 @@ def readings(text: str) -> tuple:
     empty = (none.astype(np.uint64), none)
     if not text:
         return empty, none, none, empty, empty
-    kinds, hashes, uppers, stops = _characters()
+    table, hashes = _characters()
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    kind = kinds[points]
-    digit = kind == DIGIT
+    flags = table[points]
+    digit = (flags & DIGIT) > 0
     if len(points) > 2 and digit.any():
         inside = np.flatnonzero(digit[:-2] & digit[2:] & ((points[1:-1] == 44) | (points[1:-1] == 46))) + 1
-        kind[inside] = DIGIT
+        flags[inside] = DIGIT
+    kind = flags & (LETTER | DIGIT)
     edge = np.flatnonzero(kind[1:] != kind[:-1]) + 1
     starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(points)]))
     real = kind[starts] > 0
@@ -141,28 +145,31 @@ def readings(text: str) -> tuple:
     first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     place = np.arange(lengths.sum()) - np.repeat(first, lengths)
     power = _powers(1 << max(6, int(lengths.max()).bit_length()))
-    codes = np.add.reduceat(hashes[points[kind > 0]] * power[place], first)
+    inner = kind > 0
+    codes = np.add.reduceat(hashes[points[inner]] * power[place], first)
     codes = _mixed(codes) | np.uint64(8)
-    ended = np.concatenate(([0], np.cumsum(stops[points] & (kind == 0))))
-    begins = np.ones(len(starts), dtype=bool)
-    begins[1:] = ended[starts[1:]] > ended[starts[:-1]]
+
+    def after_any(flag: int) -> np.ndarray:
+        """Whether a character with the flag stands between a word and the one before."""
+        count = np.searchsorted(np.flatnonzero(flags & flag), starts)
+        return np.concatenate(([True], count[1:] > count[:-1]))
+
+    begins = after_any(STOP)
     number = kind[starts] == DIGIT
-    capitals = np.add.reduceat(uppers[points[kind > 0]].astype(np.int64), first) == lengths
+    capitals = np.bitwise_and.reduceat(flags[inner], first) & UPPER > 0
     beside = np.zeros(len(starts), dtype=bool)
     beside[1:] = capitals[:-1]
     beside[:-1] |= capitals[1:]
-    parted = np.concatenate(([0], np.cumsum((kind == 0) & ~np.isin(points, JOINTS))))
-    apart = begins.copy()
-    apart[1:] |= parted[starts[1:]] > parted[ends[:-1]]
+    apart = begins | after_any(PARTS)
     word, on = _numbers_in_words(codes, number, apart)
-    named = uppers[points[starts]] & ~(capitals & beside) & ~number & ~word
+    named = ((flags[starts] & UPPER) > 0) & ~(capitals & beside) & ~number & ~word
     digits, number = number, number | word
     codes[number] = NUMBER
     after = np.flatnonzero(number[:-1] & ~number[1:]) + 1
     units = [i for i in after.tolist() if lengths[i] <= 10 and text[starts[i] : ends[i]].lower() in UNITS]
     codes[units] = UNIT
     named[units] = False
-    signs = np.flatnonzero(np.isin(points, SIGNS)) if digits.any() else ()
+    signs = np.flatnonzero(flags & SIGN) if digits.any() else ()
     if len(signs):
         # the word with each sign's number: the one that begins behind it, else the one that ends before it or a space
         behind = np.searchsorted(starts, signs)
