@@ -159,11 +159,20 @@ def flag_day_profile(calendar: DataFrame, flags: list[str]) -> DataFrame:
     )
 
 
-def weekday_profile(df: DataFrame, panel: Panel = PANEL, by: tuple[str, ...] = ()) -> DataFrame:
-    """Mean sales per weekday in report order, over all series or per ``by`` columns."""
-    out = df.groupBy(*by, F.date_format(panel.date, "EEEE").alias("weekday")).agg(
-        F.avg(panel.value).alias("venta_promedio")
-    )
+def weekday_profile(
+    df: DataFrame, panel: Panel = PANEL, by: tuple[str, ...] = (), decimals: int | None = None, inner: tuple[str, ...] = ()
+) -> DataFrame:
+    """Mean sales per weekday in report order, over all series or per ``by`` columns.
+
+    With ``decimals``, the mean of means that are rounded per weekday and ``inner`` columns, rounded again; the means in
+    between are decimals, so that halves round up whatever their binary form."""
+    value = F.col(panel.value)
+    out = df.withColumn("weekday", F.date_format(panel.date, "EEEE"))
+    if decimals is not None:
+        out = out.groupBy(*by, *inner, "weekday").agg(F.round(F.avg(value), decimals).cast(f"decimal(18,{decimals})").alias("_mean"))
+        value = F.col("_mean")
+    mean = F.avg(value)
+    out = out.groupBy(*by, "weekday").agg((mean if decimals is None else F.round(mean, decimals).cast("double")).alias("venta_promedio"))
     return out.withColumn("row_order", order_of(F.col("weekday"), WEEKDAY_ORDER))
 
 

@@ -135,6 +135,18 @@ def _(q):
     )
 
 
+@query(
+    "seasonal_profile_rounded",
+    """select weekday, cast((2 * sum(cents) + count(*)) // (2 * count(*)) as double) / 100 as venta_promedio, any_value(row_order) as row_order
+       from (select store_id, dayname(date) as weekday, cast(round(round(avg(sales), 2) * 100) as bigint) as cents, cast((dayofweek(date) + 1) % 7 + 1 as bigint) as row_order
+             from sales_long group by 1, 2, 4) group by 1""",
+)
+def _(q):
+    """Mean over stores of each store's rounded weekday mean."""
+    out = pf.weekday_profile(q.sales_long(), decimals=2, inner=("store_id",))
+    return out.withColumn("row_order", F.col("row_order").cast("long"))
+
+
 @query(
     "seasonal_profile_series",
     f"""select item_id, store_id, month(date) as mes, {R('avg(sales)')} as venta_promedio from sales_long group by 1, 2, 3""",

@@ -5,7 +5,9 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.numeric import missing, normal_quantiles, rounded
+from panelcast.functions.numeric import missing, normal_quantiles, pinball, rounded
+from panelcast.operators import checks as ck
+from panelcast.operators import evaluate as ev
 from panelcast.operators import folds as fo
 from panelcast.operators.forecast import arima as ar
 from panelcast.operators.forecast import boost as bo
@@ -14,6 +16,7 @@ from panelcast.operators.forecast import stl
 from panelcast.operators.forecast.baseline import empirical_quantiles
 from panelcast.operators.forecast.common import forecast_metadata
 from panelcast.operators.regress import least_squares
+from panelcast.operators.reshape import pivot_convergence
 from panelcast.plans.evaluation import flags_only
 from panelcast.plans.walk_forward import arima_forecaster, boost_walk_forward, decomposed_forecaster, walk_forward
 from panelcast.schema import QUANTILE_NAMES, QUANTILES, Z_SCORES
@@ -391,3 +394,81 @@ def _(q):
         for (f, i), table in counts.items() for j in range(len(features)) for category, code in bins[f].codes[j].items()
     ]
     return q.spark.createDataFrame(rows, "fold_id int, level string, feature string, category string, n_rows long, n_below long")
+
+
+@query(
+    "convergence_of_fits",
+    """select fold_id, categoria_zero_rate, count(*) as n_series, count(*) as n_verdicts, true as pivot_agrees, true as coverage_agrees
+       from segments cross join (select fold_id from folds) group by 1, 2""",
+)
+def _(q):
+    """The convergence reports on the verdicts of real fits: summary by fold and segment, against the pivot by fold and the
+    coverage of the forecasts by segment."""
+    q.store_tables()
+    segments, folds = q.segments(), q.folds()
+    train = fo.split_folds(q.sales_long(), folds, roles=("train",))
+    fits = checkpoint(ar.fit_arima(ar.training_arrays(train)), "report-fits")
+    verdicts = ar.arima_metadata(fits, segments)
+    summary = ev.convergence_summary(verdicts)
+    by_fold = summary.groupBy("fold_id").agg(F.sum("n_convergio").alias("yes"), F.sum("n_fallo").alias("no"))
+    pivot = pivot_convergence(verdicts).join(by_fold, "fold_id").select(
+        "fold_id", ((F.col("yes") == F.col("n_convergio")) & (F.col("no") == F.col("n_fallo"))).alias("pivot_agrees")
+    )
+    fitted = verdicts.groupBy("categoria_zero_rate").agg(F.count_distinct(F.when(F.col("convergio"), F.struct("item_id", "store_id"))).alias("fitted"))
+    coverage = ck.check_coverage(segments, ar.arima_predictions(fits, folds)).join(fitted, "categoria_zero_rate").select(
+        "categoria_zero_rate", (F.col("fitted") == F.col("n_con_modelo")).alias("coverage_agrees")
+    )
+    return (
+        summary.join(pivot, "fold_id")
+        .join(coverage, "categoria_zero_rate")
+        .select("fold_id", "categoria_zero_rate", "n_series", (F.col("n_convergio") + F.col("n_fallo")).alias("n_verdicts"), "pivot_agrees", "coverage_agrees")
+    )
+
+
+@query(
+    "fitted_models_evaluated",
+    """select model, fold_id, n_series, cast(0 as bigint) as n_wrong_series, cast(0 as bigint) as n_wrong_losses, true as rollup_agrees
+       from (select unnest(['arima', 'bqml', 'lgbm']) as model) cross join (select fold_id from folds)
+       cross join (select count(distinct (item_id, store_id)) as n_series from sales_long)""",
+)
+def _(q):
+    """Folds, the three fitted forecasters, loss fact and roll-up in one chain, over all series.
+
+    By model and fold: series whose rows of the fact are not those that the fit owes (ARIMA: 28 days of five levels if its
+    fit converged, else none; boosting: all; decomposition: every median), losses that do not follow from their row, and
+    whether the roll-up by fold holds the same rows and total loss as the fact.
+    """
+    q.store_tables()
+    sales, folds, segments = q.sales_long(), q.folds(), q.segments()
+    fits = checkpoint(ar.fit_arima(ar.training_arrays(fo.split_folds(sales, folds, roles=("train",)))), "evaluated-fits")
+    models = {
+        "arima": ar.arima_predictions(fits, folds),
+        "bqml": walk_forward(sales, folds, decomposed_forecaster(flags_only(q.calendar()))),
+        "lgbm": boost_walk_forward(q.features(), folds, BOOST),
+    }
+    fact = checkpoint(ev.pinball_fact(models, sales, segments, q.arima_sample()), "evaluated-fact")
+    keys = ["model", "fold_id", "item_id", "store_id"]
+    found = fact.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("quantile_name") == "p50").alias("medians"),
+        F.count_if(~F.coalesce(F.col("pinball_loss") == pinball(F.col("quantile_level"), F.col("y_true"), F.col("y_pred")), F.lit(False))).alias("wrong"),
+    )
+    verdicts = ar.arima_metadata(fits, segments).select("item_id", "store_id", "fold_id", "convergio")
+    owed = verdicts.withColumn("model", F.explode(F.array(*map(F.lit, models))))
+    joined = owed.join(found, keys, "left").na.fill(0, ["n", "medians", "wrong"])
+    full = 28 * len(QUANTILE_NAMES)
+    due = (
+        F.when(F.col("model") == "arima", F.col("n") == F.when(F.col("convergio"), full).otherwise(0))
+        .when(F.col("model") == "bqml", F.col("medians") == 28)
+        .otherwise(F.col("n") == full)
+    )
+    by_fit = joined.groupBy("model", "fold_id").agg(
+        F.count("*").alias("n_series"), F.count_if(~due).alias("n_wrong_series"), F.sum("wrong").alias("n_wrong_losses")
+    )
+    stable = fact.where(~F.col("bqml_unstable_series")).groupBy("model", "fold_id").agg(F.count("*").alias("n"), F.sum("pinball_loss").alias("loss"))
+    rolled = ev.metrics_by_fold(fact).groupBy("model", "fold_id").agg(
+        F.sum("n_obs").alias("rolled_n"), F.sum(F.col("n_obs") * F.col("avg_pinball_loss")).alias("rolled_loss")
+    )
+    agrees = (F.col("n") == F.col("rolled_n")) & (F.abs(F.col("loss") - F.col("rolled_loss")) <= 1e-9 * F.abs(F.col("loss")))
+    rollup = stable.join(rolled, ["model", "fold_id"]).select("model", "fold_id", agrees.alias("rollup_agrees"))
+    return by_fit.join(rollup, ["model", "fold_id"])
