@@ -140,3 +140,16 @@ def test_check_leakage_finds_a_shifted_window(spark, panel_of):
     bad = wn.add_lags(panel).withColumn("roll_mean_28", F.avg("sales").over(w.rowsBetween(-27, 0)))
     assert tuple(ck.check_leakage(good, panel).first()) == (60, 0, 0)
     assert ck.check_leakage(bad, panel).first()["roll_mean_28_mismatches"] > 0
+
+
+def test_tasks_of_the_panel_are_bounded(spark, monkeypatch):
+    """The dense panel is dealt by its own size, not by that of the records it is made from."""
+    from panelcast.operators import reshape
+    from registry.inputs import Inputs
+
+    monkeypatch.setattr(reshape, "PARTITION_ROWS", 20_000)
+    sales = Inputs(spark, "/root/testdata/sf0.001").sales_long()
+    found = sales.withColumn("part", F.spark_partition_id()).groupBy("item_id", "store_id", "part").agg(F.count("*").alias("n")).toPandas()
+    sizes = found.groupby("part")["n"].sum()
+    assert len(sizes) > 8 and sizes.max() < 5 * 20_000
+    assert not found.duplicated(["item_id", "store_id"]).any()
