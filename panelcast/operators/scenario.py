@@ -47,7 +47,8 @@ def sample_paths(
     if dependence not in DEPENDENCE:
         raise ValueError(f"unknown dependence {dependence}")
     if dependence == "history":
-        drawn = predictions.join(ranks, ["fold_id", *panel.keys])
+        # merged: stored forecasts repeat themselves and look small enough to broadcast, whatever their number of rows
+        drawn = predictions.hint("merge").join(ranks, ["fold_id", *panel.keys])
     else:
         drawn = predictions.withColumn("path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
         rank = (F.col("path") + 0.5) / paths

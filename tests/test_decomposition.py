@@ -11,6 +11,8 @@ from panelcast.operators import scenario as sc
 from panelcast.operators.forecast import stl
 from panelcast.operators.regress import least_squares
 from panelcast.operators.reshape import held_back_days, wide_to_long
+from panelcast.schema import QUANTILE_NAMES
+from panelcast.session import checkpoint
 from panelcast.sources import writers as wr
 
 START = date(2020, 1, 1)
@@ -126,3 +128,14 @@ def test_held_back_days(spark):
     assert [(r["date"], r["sales"]) for r in later.orderBy("date").collect()] == [(START + timedelta(days=4), 14), (START + timedelta(days=5), 15)]
     assert held_back_days(wide, START, START + timedelta(days=30)).count() == 0
     assert wide_to_long(wide, START).count() == 6
+
+
+def test_paths_of_stored_forecasts_are_not_broadcast(spark):
+    """Forecasts that repeat themselves make a small file of many rows: its size does not say that the driver can hold them."""
+    level = [F.lit(float(i)).alias(n) for i, n in enumerate(QUANTILE_NAMES)]
+    keys = [F.lit(1).alias("fold_id"), F.lit("a").alias("item_id"), F.lit("b").alias("store_id")]
+    stored = checkpoint(spark.range(1000).select(*keys, F.lit(date(2020, 1, 1)).alias("date"), *level))
+    ranks = spark.range(3).select(*keys, F.col("id").cast("int").alias("path"), F.lit(0.5).alias("rank"))
+    drawn = sc.sample_paths(stored, "history", 3, ranks)
+    assert "BroadcastHashJoin" not in drawn._jdf.queryExecution().executedPlan().toString()
+    assert drawn.where("value = 2").count() == 3000
