@@ -70,6 +70,7 @@ def _(q):
 
 
 def _priced(q):
+    q.store_records()
     days = q.sales_long().join(q.calendar().select("date", "wm_yr_wk"), "date", "left")
     return attach_weekly_price(days, q.sell_prices())
 

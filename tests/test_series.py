@@ -174,3 +174,10 @@ def test_farm_fingerprint(spark):
         farm_fingerprint(F.concat_ws("_", F.col("id"), F.lit("s"))).alias("n"), farm_key([F.col("id")], "s").alias("h")
     ).collect()
     assert sorted(keyed, key=lambda r: r["n"]) == sorted(keyed, key=lambda r: r["h"]) and {len(r["h"]) for r in keyed} == {16}
+
+
+def test_attach_weekly_price_does_not_sort_the_panel(spark, panel_of):
+    panel = panel_of({("a", "s"): [1] * 20, ("b", "s"): [1] * 20}).withColumn("wm_yr_wk", F.lit(0).cast("bigint"))
+    prices = spark.createDataFrame([("s", "a", 0, 1.5)], "store_id string, item_id string, wm_yr_wk bigint, sell_price double")
+    plan = rl.attach_weekly_price(panel, prices)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
