@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelcast.schema import CATEGORICAL_FEATURES, SENTINEL, SENTINEL_FEATURES
 from panelcast.session import checkpoint
@@ -18,10 +19,14 @@ def fill_sentinel(df: DataFrame, columns=tuple(SENTINEL_FEATURES), value: int =
 def category_dictionary(train: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(feature, category, code): codes 0.. in the order of the category text.
 
-    Rows are reduced to distinct values first; a feature may have any number of categories."""
+    Rows are reduced to distinct combinations first, as they are, and only these are spelled out as text, a row for each
+    column; a feature may have any number of categories. (0.0 and -0.0 are one value but two texts: such columns are text at once.)"""
     columns = columns or CATEGORICAL_FEATURES
+    fractions = {f.name for f in train.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     values = (
-        train.select(*[F.col(c).cast("string").alias(c) for c in columns])
+        train.select(*[F.col(c).cast("string").alias(c) if c in fractions else c for c in columns])
+        .distinct()
+        .select(*[F.col(c).cast("string").alias(c) for c in columns])
         .unpivot([], columns, "feature", "category")
         .where(F.col("category").isNotNull())
         .distinct()

@@ -12,6 +12,7 @@ from panelcast.operators import reshape as rs
 from panelcast.operators.folds import split_folds
 from panelcast.operators.relational import half_open
 from panelcast.schema import CATEGORICAL_FEATURES, ZERO_RATE_LABELS
+from panelcast.session import checkpoint
 from registry.core import query
 from registry.inputs import STATE_FLAGS, WIDE_DAYS
 
@@ -276,8 +277,8 @@ def _(q):
        left join d2 on d2.w = cast(f.week_of_year as varchar) group by all""",
 )
 def _(q):
-    features = q.features().select("event_type", "week_of_year")
     columns = ["event_type", "week_of_year"]
+    features = checkpoint(q.features().select(*columns), "categoricals")  # read by the dictionary and by the codes
     coded = en.encode(features, en.category_dictionary(features, columns), columns)
     return coded.groupBy(*columns, "event_type_code", "week_of_year_code").agg(
         F.count(F.lit(1)).alias("n_rows")
@@ -297,7 +298,7 @@ def _(q):
 )
 def _(q):
     """Codes of every categorical feature, and the rows of each combination."""
-    features = q.features().select(*CATEGORICAL_FEATURES)
+    features = checkpoint(q.features().select(*CATEGORICAL_FEATURES), "categoricals")  # read by the dictionary and by the codes
     coded = en.encode(features, en.category_dictionary(features))
     return coded.groupBy(*CATEGORICAL_FEATURES, *[f"{c}_code" for c in CATEGORICAL_FEATURES]).agg(F.count(F.lit(1)).alias("n_rows"))
 

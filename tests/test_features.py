@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import days
 from panelcast.functions.calendar import event_flags, prefix_switch, sunday_week
 from panelcast.functions.numeric import rounded
+from panelcast.operators import encode as en
 from panelcast.operators import checks as ck
 from panelcast.operators import windows as wn
 from panelcast.plans.features import build_features
@@ -153,3 +154,12 @@ def test_tasks_of_the_panel_are_bounded(spark, monkeypatch):
     sizes = found.groupby("part")["n"].sum()
     assert len(sizes) > 8 and sizes.max() < 5 * 20_000
     assert not found.duplicated(["item_id", "store_id"]).any()
+
+
+def test_dictionary_takes_distinct_combinations_before_it_spells_them_out(spark):
+    df = spark.createDataFrame([(2, "x", -0.0), (10, None, 0.0), (2, "x", 0.0)], "k int, c string, z double")
+    found = en.category_dictionary(df, ["k", "c", "z"])
+    assert {(r["feature"], r["category"]): r["code"] for r in found.collect()} == {
+        ("k", "10"): 0, ("k", "2"): 1, ("c", "x"): 0, ("z", "-0.0"): 0, ("z", "0.0"): 1}
+    coded = en.encode(df, found, ["k", "c", "z"])
+    assert coded.where("z_code is null").isEmpty() and coded.where("c is null and c_code is not null").isEmpty()

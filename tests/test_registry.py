@@ -2,12 +2,14 @@
 is compared by tools/check_oracle.py."""
 
 import os
+from datetime import date
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from registry import QUERIES
+from registry.inputs import Inputs
 from tools.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +47,34 @@ def test_query_matches_sql(spark, con, name):
     cur = con.execute(entry.oracle_sql()[name])
     want = rows_of([d[0] for d in cur.description], cur.fetchall())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["price_momentum", "encode_all_categoricals"])
+def test_lines_are_read_once(spark, name):
+    """Panel and prices come from one written table of observed sales, the dictionary and the codes from one of features."""
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan
+
+
+def test_observed_sales_of_suppliers_that_share_a_name(spark, tmp_path):
+    """Lines are summed by the smallest key of a name, and a line without a part counts nowhere."""
+    tables = {
+        "region": [("AFRICA", 0)], "nation": [(0, 0)], "part": [(1, "STEEL", "Brand#1")],
+        "supplier": [(7, "Supplier#000000001", 0), (8, "Supplier#000000001", 0)],
+        "lineitem": [(1, 7, date(2020, 1, 1), 2.0), (1, 8, date(2020, 1, 1), 3.0), (9, 7, date(2020, 1, 1), 50.0)],
+    }
+    schemas = {
+        "region": "r_name string, r_regionkey int", "nation": "n_nationkey int, n_regionkey int",
+        "part": "p_partkey long, p_type string, p_brand string", "supplier": "s_suppkey long, s_name string, s_nationkey int",
+        "lineitem": "l_partkey long, l_suppkey long, l_shipdate date, l_quantity double",
+    }
+    for t, rows in tables.items():
+        spark.createDataFrame(rows, schemas[t]).write.parquet(f"{tmp_path}/{t}.parquet")
+    got = {(r["item_id"], r["store_id"]): r["sales"] for r in Inputs(spark, str(tmp_path)).observed().collect()}
+    items = ["STEEL_0_001", "BRAND_1_001"]
+    assert got == {("SUPP_0_000000001", "AL_1"): 5} | {(i, s): 5 for i in items for s in ("AF_1", "AL_1")}
+
+
+def test_sums_are_carried_by_numbers(spark):
+    plan = Inputs(spark, SF).observed()._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[supplier" in plan  # not by five names a line
