@@ -138,6 +138,7 @@ def _(q):
 
 @query("two_scope_release_age", _scope_sql(_by_age, "release_age_bucket", RELEASE_LABELS))
 def _(q):
+    q.store_records()
     metrics = ev.metrics_by_release_age(q.fact(), q.releases())
     return _scope(ev.two_scope_compare(metrics, "release_age_bucket", RELEASE_LABELS), "release_age_bucket")
 

@@ -158,3 +158,13 @@ def test_check_mapping_and_forecast_range(spark):
     folds = spark.createDataFrame([(1, START, date(2020, 1, 2)), (2, START, date(2020, 1, 3))], "fold_id int, val_start date, val_end date")
     p = spark.createDataFrame([(f, d) for f in (1, 2) for d in days(START, 2)], "fold_id int, date date")
     assert {r["fold_id"]: r["ok"] for r in ck.check_forecast_range(p, folds).collect()} == {1: True, 2: False}
+
+
+def test_fact_joins_only_validated_days(spark, world):
+    """Actuals of days outside the folds do not reach the join; the fact is the same."""
+    predictions, actual, segments, sample = world
+    more = actual.unionByName(actual.withColumn("date", F.date_add("date", 30)))
+    folds = spark.createDataFrame([(1, START, date(2020, 1, 3)), (2, date(2020, 1, 4), date(2020, 1, 6))], "fold_id int, val_start date, val_end date")
+    plain, cut = ev.pinball_fact(*world), ev.pinball_fact(predictions, more, segments, sample, folds=folds)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
+    assert "LeftSemi" in cut._jdf.queryExecution().optimizedPlan().toString()
