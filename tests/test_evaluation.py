@@ -7,6 +7,7 @@ from conftest import days
 from panelcast.functions import numeric as nm
 from panelcast.operators import checks as ck
 from panelcast.operators import evaluate as ev
+from panelcast.operators.forecast import baseline as bl
 from panelcast.plans.evaluation import evaluate_all, flags_only
 from panelcast.schema import QUANTILE_NAMES, ZERO_RATE_LABELS
 
@@ -168,3 +169,12 @@ def test_fact_joins_only_validated_days(spark, world):
     plain, cut = ev.pinball_fact(*world), ev.pinball_fact(predictions, more, segments, sample, folds=folds)
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
     assert "LeftSemi" in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_window_stats_serve_both_baselines(spark, panel_of):
+    panel = panel_of({("a", "s"): [0, 1, 5, 2, 7, 1], ("b", "s"): [3] * 6})
+    train = panel.withColumn("fold_id", F.lit(1))
+    folds = spark.createDataFrame([(1, date(2020, 1, 7), date(2020, 1, 8))], "fold_id int, val_start date, val_end date")
+    stats = bl.window_stats(train)
+    for forecast in (bl.empirical_quantiles, bl.normal_forecast):
+        assert sorted(map(tuple, forecast(train, folds, stats=stats).collect())) == sorted(map(tuple, forecast(train, folds).collect()))
