@@ -178,3 +178,12 @@ def test_window_stats_serve_both_baselines(spark, panel_of):
     stats = bl.window_stats(train)
     for forecast in (bl.empirical_quantiles, bl.normal_forecast):
         assert sorted(map(tuple, forecast(train, folds, stats=stats).collect())) == sorted(map(tuple, forecast(train, folds).collect()))
+
+
+def test_strict_scope_counts_models_not_rows(spark, world):
+    """A model that has a cell twice does not stand for another one, and no set is gathered for a cell."""
+    fact = ev.pinball_fact(*world)
+    doubled = fact.where("model <> 'arima'").unionByName(fact.where("model = 'lgbm'"))
+    assert ev.strict_scope(doubled).isEmpty()
+    assert ev.strict_scope(fact.unionByName(fact.where("model = 'lgbm'"))).count() == 120
+    assert "collect_set" not in ev.strict_scope(fact)._jdf.queryExecution().optimizedPlan().toString()
