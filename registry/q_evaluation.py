@@ -344,10 +344,11 @@ def _(q):
 def _(q):
     from registry.q_features import _priced
 
+    q.store_records()
     q.store_tables()
     folds = q.folds()
     train = fo.split_folds(q.sales_long(), folds, roles=("train",))
-    revenue = _priced(q).withColumn("revenue", F.col("sales") * F.col("sell_price"))
+    revenue = _priced(q, only=ev.weight_days(folds).select("date")).withColumn("revenue", F.col("sales") * F.col("sell_price"))
     out = ev.weighted_scaled_loss(q.fact(), ev.loss_scale(train), ev.revenue_weights(revenue, folds))
     return out.withColumn("wspl", rounded(F.col("wspl")))
 

@@ -69,9 +69,11 @@ def _(q):
     return wn.add_days_since_last_sale(q.sales_long()).drop("sales")
 
 
-def _priced(q):
+def _priced(q, only=None):
+    """The panel with the day's price; with ``only``, of the days of that frame."""
     q.store_records()
-    days = q.sales_long().join(q.calendar().select("date", "wm_yr_wk"), "date", "left")
+    sales = q.sales_long() if only is None else q.sales_long().join(only, "date", "left_semi")
+    days = sales.join(q.calendar().select("date", "wm_yr_wk"), "date", "left")
     return attach_weekly_price(days, q.sell_prices())
 
 

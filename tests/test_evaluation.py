@@ -187,3 +187,14 @@ def test_strict_scope_counts_models_not_rows(spark, world):
     assert ev.strict_scope(doubled).isEmpty()
     assert ev.strict_scope(fact.unionByName(fact.where("model = 'lgbm'"))).count() == 120
     assert "collect_set" not in ev.strict_scope(fact)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_revenue_weights_need_only_their_days(spark, panel_of):
+    folds = spark.createDataFrame([(1, date(2020, 2, 10)), (2, date(2020, 2, 20))], "fold_id int, train_end date")
+    revenue = panel_of({("a", "s"): list(range(60)), ("b", "s"): [7] * 60}).withColumn("revenue", F.col("sales") * 1.5)
+    days_used = ev.weight_days(folds)
+    assert days_used.count() == 56
+    assert tuple(days_used.where("fold_id = 1").agg(F.min("date"), F.max("date")).first()) == (date(2020, 1, 14), date(2020, 2, 10))
+    few = revenue.join(days_used.select("date"), "date", "left_semi")
+    rows = lambda df: sorted(map(tuple, ev.revenue_weights(df, folds).collect()))
+    assert rows(few) == rows(revenue)
