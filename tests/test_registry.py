@@ -6,6 +6,7 @@ from datetime import date
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from registry import QUERIES
@@ -78,3 +79,13 @@ def test_observed_sales_of_suppliers_that_share_a_name(spark, tmp_path):
 def test_sums_are_carried_by_numbers(spark):
     plan = Inputs(spark, SF).observed()._jdf.queryExecution().executedPlan().toString()
     assert "keys=[supplier" in plan  # not by five names a line
+
+
+def test_predict_quantiles_compares_what_is_predicted(spark, monkeypatch):
+    """The rows compared are those of the forecast, clipped and sorted, not its raw scores."""
+    from panelcast.operators.forecast import boost
+
+    predict = boost.predict_quantile_boost
+    monkeypatch.setattr(boost, "predict_quantile_boost", lambda *a, **k: predict(*a, **k).withColumn("p05", F.lit(-1.0)))
+    rows = entry.queries()["predict_quantiles"](spark, SF).collect()
+    assert len(rows) == 5 and all(r["n_different"] == r["n_rows"] for r in rows)
