@@ -89,3 +89,12 @@ def test_predict_quantiles_compares_what_is_predicted(spark, monkeypatch):
     monkeypatch.setattr(boost, "predict_quantile_boost", lambda *a, **k: predict(*a, **k).withColumn("p05", F.lit(-1.0)))
     rows = entry.queries()["predict_quantiles"](spark, SF).collect()
     assert len(rows) == 5 and all(r["n_different"] == r["n_rows"] for r in rows)
+
+
+def test_quantile_boost_has_the_size_of_the_study(spark, monkeypatch):
+    from registry import q_forecast
+
+    asked = []
+    monkeypatch.setattr(q_forecast, "boost_walk_forward", lambda features, folds, params: asked.append(params))
+    entry.queries()["quantile_boost"](spark, SF)
+    assert [(p.rounds, p.learning_rate, p.max_leaves) for p in asked] == [(1000, 0.05, 127)]
